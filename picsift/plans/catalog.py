@@ -11,8 +11,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions import bits
 from ..operators import exact as exact_ops
-from ..operators import reports, scan
+from ..operators import hamming, near as near_ops, reports, scan
+from ..operators.status import current_images
 from ..params import OK
 from . import stages
 
@@ -54,6 +56,39 @@ def q_clusters_over_10(spark: SparkSession, sf: str) -> DataFrame:
     return reports.clusters_larger_than(stages.current(spark, sf), 10)
 
 
+def q_fingerprint_hex(spark: SparkSession, sf: str) -> DataFrame:
+    v = stages.vectors(spark, sf)
+    hx = bits.to_hex(F.col("phash"))
+    return v.select("asset_id", hx.alias("phash_hex"), bits.from_hex(hx).alias("phash_back"))
+
+
+def q_hamming_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    pairs = hamming.hamming_pairs(stages.vectors(spark, sf), "phash", 8)
+    return pairs.select(bits.to_hex(F.col("hash_a")).alias("hash_a"), bits.to_hex(F.col("hash_b")).alias("hash_b"),
+                        "dist")
+
+
+def q_candidate_groups(spark: SparkSession, sf: str) -> DataFrame:
+    return hamming.candidate_groups(stages.vectors(spark, sf), "asset_id", "phash", 8).select(
+        "asset_id", "candidate_group")
+
+
+def q_near_dups(spark: SparkSession, sf: str) -> DataFrame:
+    return stages.near(spark, sf)
+
+
+def q_near_dup_stats(spark: SparkSession, sf: str) -> DataFrame:
+    v = stages.vectors(spark, sf)
+    cand = hamming.candidate_groups(v, "asset_id", "phash", 8)
+    return near_ops.near_dup_stats(cand, near_ops.near_duplicates(v, "asset_id"))
+
+
+def q_near_dup_list(spark: SparkSession, sf: str) -> DataFrame:
+    v = stages.vectors(spark, sf).select("asset_id", F.lit(OK).alias("status"))
+    cur = current_images(v, near=stages.near(spark, sf), near_key="asset_id")
+    return reports.near_dup_paths(cur, "asset_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_status": q_scan_status,
     "exif_normalize": q_exif_normalize,
@@ -64,4 +99,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "images_by_year": q_images_by_year,
     "category_distribution": q_category_distribution,
     "clusters_over_10": q_clusters_over_10,
+    "fingerprint_hex": q_fingerprint_hex,
+    "hamming_pairs": q_hamming_pairs,
+    "candidate_groups": q_candidate_groups,
+    "near_dups": q_near_dups,
+    "near_dup_stats": q_near_dup_stats,
+    "near_dup_list": q_near_dup_list,
 }

@@ -69,8 +69,70 @@ cur AS (
 )""".replace("LABELS", _LABEL_LIST)
 
 
+VECTORS = r"""
+vec_base AS (
+  SELECT e.vec_id, e.label, c.copy, e.embedding
+  FROM embeddings e JOIN (SELECT unnest([0, 1, 2, 3]) AS copy) c ON c.copy = 0 OR e.vec_id % 4 = 0
+),
+vec_raw AS (
+  SELECT vec_id, label, copy, vec_id * 10 + copy AS asset_id,
+         list_transform(embedding, lambda x, i: CAST(x AS DOUBLE)
+            + (CASE copy WHEN 1 THEN 0.01::DOUBLE WHEN 2 THEN 0.012::DOUBLE WHEN 3 THEN 0.03::DOUBLE ELSE 0.0::DOUBLE END)
+              * CAST((i * 7 + vec_id * 3 + copy * 5) % 5 - 2 AS DOUBLE)) AS raw
+  FROM vec_base
+),
+vec_n AS (
+  SELECT *, sqrt(list_sum(list_transform(raw, lambda y: y * y))) AS nrm,
+         CAST(list_sum(list_transform(range(56), lambda k:
+             CASE WHEN raw[(k // 7) * 8 + k % 7 + 2] > raw[(k // 7) * 8 + k % 7 + 1]
+                  THEN CAST(1 AS BIGINT) << (55 - k) ELSE CAST(0 AS BIGINT) END)) AS BIGINT) AS phash
+  FROM vec_raw
+),
+vectors AS (
+  SELECT v.asset_id, v.vec_id, v.copy, v.label, list_transform(v.raw, lambda x: x / nrm) AS vec, v.phash,
+         CAST(40 + (v.asset_id * 37) % 400 AS INTEGER) AS width,
+         CAST(40 + (v.asset_id * 53) % 300 AS INTEGER) AS height,
+         CASE WHEN v.asset_id % 6 <> 0 THEN strftime(o.o_orderdate, '%Y-%m-%dT%H:%M:%S') END AS date_taken
+  FROM vec_n v LEFT JOIN orders o ON o.o_orderkey = v.asset_id
+),
+hedge AS (
+  SELECT a.asset_id AS x, b.asset_id AS y FROM vectors a JOIN vectors b
+    ON a.asset_id <> b.asset_id AND bit_count(xor(a.phash, b.phash)) <= 8
+),
+reach(x, y) AS (
+  SELECT asset_id, asset_id FROM vectors
+  UNION
+  SELECT r.x, e.y FROM reach r JOIN hedge e ON e.x = r.y
+),
+cg AS (SELECT x AS asset_id, min(y) AS candidate_group, count(*) AS n FROM reach GROUP BY x),
+cand AS (SELECT asset_id, candidate_group FROM cg WHERE n > 1),
+cedge AS (
+  SELECT ca.asset_id AS x, cb.asset_id AS y
+  FROM cand ca JOIN cand cb ON ca.candidate_group = cb.candidate_group AND ca.asset_id < cb.asset_id
+  JOIN vectors a ON a.asset_id = ca.asset_id JOIN vectors b ON b.asset_id = cb.asset_id
+  WHERE list_dot_product(a.vec, b.vec) >= 0.97
+),
+cedge2 AS (SELECT x, y FROM cedge UNION ALL SELECT y, x FROM cedge),
+reach2(x, y) AS (
+  SELECT x, x FROM cedge2
+  UNION
+  SELECT r.x, e.y FROM reach2 r JOIN cedge2 e ON e.x = r.y
+),
+ng AS (SELECT x AS asset_id, min(y) AS near_group FROM reach2 GROUP BY x),
+nk AS (
+  SELECT n.asset_id, n.near_group,
+         row_number() OVER (PARTITION BY n.near_group ORDER BY CAST(v.width AS BIGINT) * v.height DESC,
+                                                             coalesce(v.date_taken, '') ASC, n.asset_id) AS rn
+  FROM ng n JOIN vectors v ON v.asset_id = n.asset_id
+),
+near AS (
+  SELECT n.asset_id, c.candidate_group, n.near_group, k.asset_id AS keeper, n.asset_id = k.asset_id AS is_keeper
+  FROM nk n JOIN nk k ON k.near_group = n.near_group AND k.rn = 1 JOIN cand c ON c.asset_id = n.asset_id
+)"""
+
+
 def _with(*ctes: str, body: str) -> str:
-    return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n" + body
+    return "WITH RECURSIVE " + ",\n".join(c.strip() for c in ctes) + "\n" + body
 
 
 ORACLE: dict[str, str] = {
@@ -93,4 +155,17 @@ ORACLE: dict[str, str] = {
     "clusters_over_10": _with(ASSETS, body="""
         SELECT face_cluster_id, count(*) AS cnt FROM cur WHERE status = 'ok' AND face_cluster_id >= 0
         GROUP BY face_cluster_id HAVING count(*) > 10"""),
+    "fingerprint_hex": _with(VECTORS, body="""
+        SELECT asset_id, printf('%016x', phash) AS phash_hex, phash AS phash_back FROM vectors"""),
+    "hamming_pairs": _with(VECTORS, body="""
+        SELECT printf('%016x', ha) AS hash_a, printf('%016x', hb) AS hash_b, CAST(bit_count(xor(ha, hb)) AS INTEGER) AS dist
+        FROM (SELECT DISTINCT a.phash AS ha, b.phash AS hb FROM vectors a JOIN vectors b ON a.phash < b.phash
+              WHERE bit_count(xor(a.phash, b.phash)) <= 8)"""),
+    "candidate_groups": _with(VECTORS, body="SELECT asset_id, candidate_group FROM cand"),
+    "near_dups": _with(VECTORS, body="SELECT asset_id, candidate_group, near_group, keeper, is_keeper FROM near"),
+    "near_dup_stats": _with(VECTORS, body="""
+        SELECT (SELECT count(DISTINCT candidate_group) FROM cand) AS candidate_groups,
+               (SELECT count(DISTINCT near_group) FROM near) AS confirmed_groups,
+               (SELECT count(*) FROM near WHERE NOT is_keeper) AS removed"""),
+    "near_dup_list": _with(VECTORS, body="SELECT asset_id FROM near WHERE NOT is_keeper"),
 }

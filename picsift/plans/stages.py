@@ -28,3 +28,12 @@ def current(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
     """Images with statuses after phases 1-2."""
     img = images(spark, sf_dir, p)
     return current_images(img, exact=exact_duplicates(img))
+
+
+def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.vectors_table(spark, sf_dir)
+
+
+def near(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
+    from ..operators.near import near_duplicates
+    return near_duplicates(vectors(spark, sf_dir), "asset_id", p)

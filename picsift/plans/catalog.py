@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import bits
 from ..operators import exact as exact_ops
-from ..operators import hamming, near as near_ops, reports, scan
+from ..operators import boxes, hamming, near as near_ops, people, reports, scan
+from ..operators.similarity import top_k
+from ..operators.zeroshot import zero_shot
+from ..sources import fixtures
 from ..operators.status import current_images
 from ..params import OK
 from . import stages
@@ -89,6 +92,33 @@ def q_near_dup_list(spark: SparkSession, sf: str) -> DataFrame:
     return reports.near_dup_paths(cur, "asset_id")
 
 
+def q_zero_shot(spark: SparkSession, sf: str) -> DataFrame:
+    z = zero_shot(fixtures.embedding_vectors(spark, sf), fixtures.label_vectors(spark, sf), "vec_id")
+    return z.select("vec_id", "label_idx", "category", F.round("score", 6).alias("score"))
+
+
+def q_topk_similar(spark: SparkSession, sf: str) -> DataFrame:
+    e = fixtures.embedding_vectors(spark, sf)
+    t = top_k(e, e, "vec_id", "vec", 5, exclude_self=True)
+    return t.select("query_id", "rank", "neighbor_id", F.round("sim", 6).alias("sim"))
+
+
+def q_dbscan_labels(spark: SparkSession, sf: str) -> DataFrame:
+    return stages.face_labels(spark, sf).select("face_id", "cluster")
+
+
+def q_person_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    return people.person_clusters(stages.face_labels(spark, sf))
+
+
+def q_cluster_report(spark: SparkSession, sf: str) -> DataFrame:
+    return people.cluster_report(stages.face_labels(spark, sf))
+
+
+def q_box_clip(spark: SparkSession, sf: str) -> DataFrame:
+    return boxes.clip_boxes(stages.faces(spark, sf))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_status": q_scan_status,
     "exif_normalize": q_exif_normalize,
@@ -105,4 +135,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "near_dups": q_near_dups,
     "near_dup_stats": q_near_dup_stats,
     "near_dup_list": q_near_dup_list,
+    "zero_shot": q_zero_shot,
+    "topk_similar": q_topk_similar,
+    "dbscan_labels": q_dbscan_labels,
+    "person_clusters": q_person_clusters,
+    "cluster_report": q_cluster_report,
+    "box_clip": q_box_clip,
 }

@@ -131,6 +131,92 @@ near AS (
 )"""
 
 
+EMB = r"""
+emb AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings),
+lab_elems AS (
+  SELECT label, pos, avg(x) AS m
+  FROM (SELECT label, unnest(vec) AS x, unnest(range(len(vec))) AS pos FROM emb)
+  GROUP BY label, pos
+),
+lab_raw AS (SELECT label, list(m ORDER BY pos) AS raw FROM lab_elems GROUP BY label),
+lab_n AS (SELECT label, raw, sqrt(list_sum(list_transform(raw, lambda y: y * y))) AS nrm FROM lab_raw),
+labels_vec AS (
+  SELECT CAST(label AS INTEGER) AS label_idx, LABELS[label + 1] AS label, list_transform(raw, lambda x: x / nrm) AS vec
+  FROM lab_n
+)""".replace("LABELS", _LABEL_LIST)
+
+FACES = r"""
+face_base AS (
+  SELECT e.vec_id, e.embedding, c.copy
+  FROM embeddings e JOIN (SELECT unnest(range(16)) AS copy) c ON c.copy <= e.vec_id % 16
+),
+face_raw AS (
+  SELECT vec_id, copy, vec_id * 100 + copy AS face_id,
+         CAST(CASE WHEN vec_id % 16 = 0 THEN 1000000 + vec_id ELSE (vec_id // 3) * 20 + copy END AS BIGINT) AS img,
+         list_transform(embedding, lambda x, i: CAST(x AS DOUBLE)
+             + 0.02::DOUBLE * CAST((i * 7 + vec_id * 3 + copy * 5 + i * copy) % 7 - 3 AS DOUBLE)) AS raw
+  FROM face_base
+),
+face_n AS (SELECT *, sqrt(list_sum(list_transform(raw, lambda y: y * y))) AS nrm FROM face_raw),
+faces AS (
+  SELECT face_id, img, list_transform(raw, lambda x: x / nrm) AS vec,
+         CAST((face_id * 13) % 500 AS DOUBLE) - 20.5 AS x1,
+         CAST((face_id * 7) % 400 AS DOUBLE) - 10.5 AS y1,
+         CAST((face_id * 13) % 500 AS DOUBLE) - 20.5 + CAST(face_id % 90 AS DOUBLE) AS x2,
+         CAST((face_id * 7) % 400 AS DOUBLE) - 10.5 + CAST(face_id % 70 AS DOUBLE) AS y2,
+         CAST((face_id * 37) % 100 AS DOUBLE) / 100.0 AS conf, 480 AS img_w, 360 AS img_h,
+         CAST(row_number() OVER (PARTITION BY img ORDER BY face_id) - 1 AS INTEGER) AS face_ord
+  FROM face_n
+),
+fedge AS (
+  SELECT a.face_id AS x, b.face_id AS y FROM faces a JOIN faces b ON a.face_id < b.face_id
+  WHERE 1 - list_dot_product(a.vec, b.vec) <= 0.4
+),
+fedge2 AS (SELECT x, y FROM fedge UNION ALL SELECT y, x FROM fedge),
+deg AS (SELECT x AS face_id, count(*) AS nb FROM fedge2 GROUP BY x),
+core AS (SELECT face_id FROM deg WHERE nb + 1 >= 2),
+cedges AS (
+  SELECT e.x, e.y FROM fedge2 e JOIN core a ON a.face_id = e.x JOIN core b ON b.face_id = e.y
+),
+creach(x, y) AS (
+  SELECT face_id, face_id FROM core
+  UNION
+  SELECT r.x, e.y FROM creach r JOIN cedges e ON e.x = r.y
+),
+croot AS (SELECT x AS face_id, min(y) AS root FROM creach GROUP BY x),
+cfirst AS (
+  SELECT root, img, face_ord FROM (
+    SELECT c.root, f.img, f.face_ord, row_number() OVER (PARTITION BY c.root ORDER BY f.img, f.face_ord) AS rn
+    FROM croot c JOIN faces f ON f.face_id = c.face_id) WHERE rn = 1
+),
+clab AS (SELECT root, CAST(row_number() OVER (ORDER BY img, face_ord) - 1 AS INTEGER) AS label FROM cfirst),
+corelab AS (SELECT c.face_id, l.label FROM croot c JOIN clab l ON l.root = c.root),
+border AS (
+  SELECT e.x AS face_id, min(cl.label) AS label FROM fedge2 e JOIN corelab cl ON cl.face_id = e.y
+  WHERE e.x NOT IN (SELECT face_id FROM core) GROUP BY e.x
+),
+dbscan AS (
+  SELECT f.face_id, f.img, f.face_ord, CAST(coalesce(cl.label, b.label, -1) AS INTEGER) AS cluster
+  FROM faces f LEFT JOIN corelab cl ON cl.face_id = f.face_id LEFT JOIN border b ON b.face_id = f.face_id
+),
+pc_counts AS (
+  SELECT img, cluster, count(*) AS n, min(face_ord) AS first FROM dbscan WHERE cluster >= 0 GROUP BY img, cluster
+),
+pc_mode AS (
+  SELECT img, cluster FROM (
+    SELECT *, row_number() OVER (PARTITION BY img ORDER BY n DESC, first ASC) AS rn FROM pc_counts) WHERE rn = 1
+),
+pc_img AS (
+  SELECT i.img, coalesce(m.cluster, -1) AS cluster FROM (SELECT DISTINCT img FROM dbscan) i
+  LEFT JOIN pc_mode m ON m.img = i.img
+),
+pc_size AS (SELECT cluster, count(*) AS n FROM pc_img WHERE cluster >= 0 GROUP BY cluster),
+persons AS (
+  SELECT p.img, CAST(CASE WHEN s.n >= 10 THEN p.cluster ELSE -1 END AS INTEGER) AS cluster_id
+  FROM pc_img p LEFT JOIN pc_size s ON s.cluster = p.cluster
+)"""
+
+
 def _with(*ctes: str, body: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(c.strip() for c in ctes) + "\n" + body
 
@@ -168,4 +254,28 @@ ORACLE: dict[str, str] = {
                (SELECT count(DISTINCT near_group) FROM near) AS confirmed_groups,
                (SELECT count(*) FROM near WHERE NOT is_keeper) AS removed"""),
     "near_dup_list": _with(VECTORS, body="SELECT asset_id FROM near WHERE NOT is_keeper"),
+    "zero_shot": _with(EMB, body="""
+        SELECT vec_id, label_idx, category, round(score, 6) AS score FROM (
+          SELECT e.vec_id, l.label_idx, l.label AS category, list_dot_product(e.vec, l.vec) AS score,
+                 row_number() OVER (PARTITION BY e.vec_id ORDER BY list_dot_product(e.vec, l.vec) DESC, l.label_idx) AS rn
+          FROM emb e CROSS JOIN labels_vec l) WHERE rn = 1"""),
+    "topk_similar": _with(EMB, body="""
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, neighbor_id, round(sim, 6) AS sim FROM (
+          SELECT a.vec_id AS query_id, b.vec_id AS neighbor_id, list_dot_product(a.vec, b.vec) AS sim,
+                 row_number() OVER (PARTITION BY a.vec_id ORDER BY list_dot_product(a.vec, b.vec) DESC, b.vec_id) AS rank
+          FROM emb a JOIN emb b ON a.vec_id <> b.vec_id) WHERE rank <= 5"""),
+    "dbscan_labels": _with(FACES, body="SELECT face_id, cluster FROM dbscan"),
+    "person_clusters": _with(FACES, body="SELECT img, cluster_id FROM persons"),
+    "cluster_report": _with(FACES, body="""
+        SELECT (SELECT count(*) FROM dbscan) AS faces,
+               CAST((SELECT coalesce(max(cluster), -1) + 1 FROM dbscan) AS INTEGER) AS n_clusters,
+               (SELECT count(*) FROM dbscan WHERE cluster = -1) AS noise_faces,
+               (SELECT count(DISTINCT img) FROM dbscan) AS images_with_faces,
+               (SELECT count(*) FROM pc_size WHERE n >= 10) AS clusters_kept,
+               (SELECT count(*) FROM pc_size WHERE n < 10) AS clusters_dropped"""),
+    "box_clip": _with(FACES, body="""
+        SELECT face_id, x1, y1, x2, y2 FROM (
+          SELECT face_id, greatest(0, CAST(trunc(x1) AS INTEGER)) AS x1, greatest(0, CAST(trunc(y1) AS INTEGER)) AS y1,
+                 least(img_w, CAST(trunc(x2) AS INTEGER)) AS x2, least(img_h, CAST(trunc(y2) AS INTEGER)) AS y2
+          FROM faces WHERE conf >= 0.25) WHERE x2 > x1 AND y2 > y1"""),
 }

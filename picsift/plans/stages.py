@@ -37,3 +37,15 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
     from ..operators.near import near_duplicates
     return near_duplicates(vectors(spark, sf_dir), "asset_id", p)
+
+
+def faces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.faces(spark, sf_dir)
+
+
+def face_labels(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
+    """DBSCAN over all face vectors: ``(face_id, img, face_ord, cluster)``."""
+    from ..operators.dbscan import dbscan
+    f = faces(spark, sf_dir)
+    lab = dbscan(f, "face_id", "vec", ["img", "face_ord"], p.dbscan_eps, p.dbscan_min_samples, p.block_rows)
+    return f.select("face_id", "img", "face_ord").join(lab, "face_id")

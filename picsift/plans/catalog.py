@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import bits
 from ..operators import exact as exact_ops
 from ..operators import boxes, hamming, near as near_ops, people, reports, scan
+from ..operators import layout, ledger, upsert as upsert_ops
 from ..operators.similarity import top_k
 from ..operators.zeroshot import zero_shot
 from ..sources import fixtures
@@ -119,6 +120,41 @@ def q_box_clip(spark: SparkSession, sf: str) -> DataFrame:
     return boxes.clip_boxes(stages.faces(spark, sf))
 
 
+def q_layout_paths(spark: SparkSession, sf: str) -> DataFrame:
+    return stages.placed(spark, sf).select("path", "year", "month", "new_path")
+
+
+def q_view_membership(spark: SparkSession, sf: str) -> DataFrame:
+    return layout.view_links(stages.placed(spark, sf))
+
+
+def q_layout_stats(spark: SparkSession, sf: str) -> DataFrame:
+    placed = stages.placed(spark, sf)
+    return layout.layout_stats(stages.current(spark, sf), placed, layout.view_links(placed))
+
+
+def q_regroup(spark: SparkSession, sf: str) -> DataFrame:
+    return people.regroup(stages.current(spark, sf), stages.placed(spark, sf))
+
+
+def q_upsert_merge(spark: SparkSession, sf: str) -> DataFrame:
+    base = stages.current(spark, sf)
+    scan_rows = stages.images(spark, sf)
+    cols = ["path", "status", "width", "height", "date_taken", "camera_make", "camera_model", "sha256"]
+    rescan = scan_rows.select(*cols, upsert_ops.scan_provided(F.col("status")).alias("provided"))
+    incoming = (scan_rows.filter(F.col("category").isNull())
+                .select(F.regexp_replace("path", "^/recovered/", "/incoming/").alias("path"), *cols[1:],
+                        upsert_ops.scan_provided(F.col("status")).alias("provided")))
+    base = base.select(*cols, "category", "face_cluster_id")
+    return upsert_ops.upsert(base, rescan.unionByName(incoming))
+
+
+def q_unscanned(spark: SparkSession, sf: str) -> DataFrame:
+    ok = stages.current(spark, sf).filter(F.col("status") == OK)
+    done = ok.filter(F.col("date_taken") < "1998")
+    return ledger.unprocessed(ok, done).select("path")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_status": q_scan_status,
     "exif_normalize": q_exif_normalize,
@@ -141,4 +177,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "person_clusters": q_person_clusters,
     "cluster_report": q_cluster_report,
     "box_clip": q_box_clip,
+    "layout_paths": q_layout_paths,
+    "view_membership": q_view_membership,
+    "layout_stats": q_layout_stats,
+    "regroup": q_regroup,
+    "upsert_merge": q_upsert_merge,
+    "unscanned": q_unscanned,
 }

@@ -217,6 +217,62 @@ persons AS (
 )"""
 
 
+LAYOUT = r"""
+lay0 AS (
+  SELECT c.*,
+         CASE WHEN length(date_taken) >= 7 AND regexp_matches(substr(date_taken, 1, 7), '^[0-9]+-[0-9]+$')
+              THEN regexp_extract(substr(date_taken, 1, 7), '^([0-9]+)-([0-9]+)$', 1) ELSE 'unknown' END AS year,
+         CASE WHEN length(date_taken) >= 7 AND regexp_matches(substr(date_taken, 1, 7), '^[0-9]+-[0-9]+$')
+              THEN regexp_extract(substr(date_taken, 1, 7), '^([0-9]+)-([0-9]+)$', 2) ELSE '' END AS month,
+         regexp_extract(path, '[^/]*$') AS name
+  FROM cur c WHERE status = 'ok'
+),
+lay1 AS (
+  SELECT *, 'output/by_date/' || CASE WHEN year = 'unknown' THEN 'unknown' ELSE year || '/' || month END AS dst_dir
+  FROM lay0
+),
+lay2 AS (SELECT *, row_number() OVER (PARTITION BY dst_dir, name ORDER BY path) AS rn FROM lay1),
+layout AS (
+  SELECT *, dst_dir || '/' || CASE WHEN rn = 1 THEN name
+         ELSE regexp_replace(name, '\.[^.]+$', '') || '_' || CAST(rn AS VARCHAR) || regexp_extract(name, '^.+(\.[^.]+)$', 1) END
+         AS new_path
+  FROM lay2
+),
+lnk0 AS (
+  SELECT 'by_category' AS view,
+         CASE WHEN category IS NULL OR category = '' THEN 'uncategorized'
+              ELSE substr(translate(regexp_replace(category, '^\s+|\s+$', '', 'g'), '/\: ', '____'), 1, 64) END AS key,
+         path, new_path FROM layout
+  UNION ALL
+  SELECT 'by_camera' AS view,
+         coalesce(nullif(concat_ws('_',
+            CASE WHEN sm NOT IN ('', 'unknown') THEN sm END,
+            CASE WHEN so NOT IN ('', 'unknown') THEN so END), ''), 'unknown_camera') AS key,
+         path, new_path
+  FROM (SELECT path, new_path,
+          CASE WHEN camera_make IS NULL OR camera_make = '' THEN 'unknown'
+               ELSE substr(translate(regexp_replace(camera_make, '^\s+|\s+$', '', 'g'), '/\: ', '____'), 1, 64) END AS sm,
+          CASE WHEN camera_model IS NULL OR camera_model = '' THEN 'unknown'
+               ELSE substr(translate(regexp_replace(camera_model, '^\s+|\s+$', '', 'g'), '/\: ', '____'), 1, 64) END AS so
+        FROM layout)
+  UNION ALL
+  SELECT 'by_person' AS view, printf('person_%04d', face_cluster_id) AS key, path, new_path
+  FROM layout WHERE coalesce(face_cluster_id, -1) >= 0
+),
+lnk1 AS (SELECT *, 'output/' || view || '/' || key || '/' || regexp_extract(new_path, '[^/]*$') AS link FROM lnk0),
+links AS (
+  SELECT view, key, link, path, new_path AS target FROM (
+    SELECT *, row_number() OVER (PARTITION BY view, key, link ORDER BY path) AS rn FROM lnk1) WHERE rn = 1
+),
+rg_size AS (SELECT face_cluster_id, count(*) AS n FROM layout WHERE face_cluster_id >= 0 GROUP BY face_cluster_id),
+regroup AS (
+  SELECT path, cid AS face_cluster_id,
+         CASE WHEN cid >= 0 THEN 'output/by_person/' || printf('person_%04d', cid) || '/' || regexp_extract(new_path, '[^/]*$') END AS link
+  FROM (SELECT l.path, l.new_path, CAST(CASE WHEN s.n >= 10 THEN l.face_cluster_id ELSE -1 END AS INTEGER) AS cid
+        FROM layout l LEFT JOIN rg_size s ON s.face_cluster_id = l.face_cluster_id)
+)"""
+
+
 def _with(*ctes: str, body: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(c.strip() for c in ctes) + "\n" + body
 
@@ -273,6 +329,40 @@ ORACLE: dict[str, str] = {
                (SELECT count(DISTINCT img) FROM dbscan) AS images_with_faces,
                (SELECT count(*) FROM pc_size WHERE n >= 10) AS clusters_kept,
                (SELECT count(*) FROM pc_size WHERE n < 10) AS clusters_dropped"""),
+    "layout_paths": _with(ASSETS, LAYOUT, body="SELECT path, year, month, new_path FROM layout"),
+    "view_membership": _with(ASSETS, LAYOUT, body="SELECT view, key, link, path, target FROM links"),
+    "layout_stats": _with(ASSETS, LAYOUT, body="""
+        SELECT (SELECT count(*) FROM layout) AS moved,
+               (SELECT count(*) FROM cur WHERE status = 'ok') - (SELECT count(*) FROM layout) AS skipped,
+               (SELECT count(*) FROM links) AS links"""),
+    "regroup": _with(ASSETS, LAYOUT, body="SELECT path, face_cluster_id, link FROM regroup"),
+    "upsert_merge": _with(ASSETS, body="""
+        , upd AS (
+          SELECT path, status, width, height, date_taken, camera_make, camera_model, sha256,
+                 CASE status WHEN 'deleted_corrupt' THEN ['status'] WHEN 'deleted_tiny' THEN ['status', 'width', 'height']
+                      ELSE ['status', 'width', 'height', 'date_taken', 'camera_make', 'camera_model', 'sha256'] END AS provided
+          FROM scan
+          UNION ALL
+          SELECT regexp_replace(path, '^/recovered/', '/incoming/'), status, width, height, date_taken, camera_make,
+                 camera_model, sha256,
+                 CASE status WHEN 'deleted_corrupt' THEN ['status'] WHEN 'deleted_tiny' THEN ['status', 'width', 'height']
+                      ELSE ['status', 'width', 'height', 'date_taken', 'camera_make', 'camera_model', 'sha256'] END
+          FROM scan WHERE category IS NULL
+        )
+        SELECT coalesce(b.path, u.path) AS path,
+          CASE WHEN list_contains(u.provided, 'status') THEN u.status WHEN b.path IS NOT NULL THEN b.status ELSE 'ok' END AS status,
+          CASE WHEN list_contains(u.provided, 'width') THEN u.width ELSE b.width END AS width,
+          CASE WHEN list_contains(u.provided, 'height') THEN u.height ELSE b.height END AS height,
+          CASE WHEN list_contains(u.provided, 'date_taken') THEN u.date_taken ELSE b.date_taken END AS date_taken,
+          CASE WHEN list_contains(u.provided, 'camera_make') THEN u.camera_make ELSE b.camera_make END AS camera_make,
+          CASE WHEN list_contains(u.provided, 'camera_model') THEN u.camera_model ELSE b.camera_model END AS camera_model,
+          CASE WHEN list_contains(u.provided, 'sha256') THEN u.sha256 ELSE b.sha256 END AS sha256,
+          b.category AS category,
+          CAST(CASE WHEN b.path IS NOT NULL THEN b.face_cluster_id ELSE -1 END AS INTEGER) AS face_cluster_id
+        FROM cur b FULL OUTER JOIN upd u ON u.path = b.path"""),
+    "unscanned": _with(ASSETS, body="""
+        SELECT path FROM cur WHERE status = 'ok'
+          AND path NOT IN (SELECT path FROM cur WHERE status = 'ok' AND date_taken < '1998')"""),
     "box_clip": _with(FACES, body="""
         SELECT face_id, x1, y1, x2, y2 FROM (
           SELECT face_id, greatest(0, CAST(trunc(x1) AS INTEGER)) AS x1, greatest(0, CAST(trunc(y1) AS INTEGER)) AS y1,

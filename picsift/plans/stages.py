@@ -49,3 +49,9 @@ def face_labels(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFr
     f = faces(spark, sf_dir)
     lab = dbscan(f, "face_id", "vec", ["img", "face_ord"], p.dbscan_eps, p.dbscan_min_samples, p.block_rows)
     return f.select("face_id", "img", "face_ord").join(lab, "face_id")
+
+
+def placed(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
+    """Phase 5 layout of the survivors of phases 1-2."""
+    from ..operators.layout import place_files
+    return place_files(current(spark, sf_dir, p), p)

@@ -32,12 +32,13 @@ def _small_star(e: DataFrame) -> DataFrame:
 
 
 def _is_star_forest(e: DataFrame) -> bool:
-    """True when every node has one parent and every parent is a root."""
-    multi = e.groupBy("hi").count().filter(F.col("count") > 1).limit(1).count()
-    if multi:
-        return False
-    chained = e.join(e.select(F.col("hi").alias("lo")).distinct(), "lo", "left_semi").limit(1).count()
-    return chained == 0
+    """True when every node has one parent and every parent is a root
+    (one shuffle, one job)."""
+    u = (e.select(F.col("hi").alias("n"), F.lit(1).alias("out"), F.lit(0).alias("par"))
+          .unionByName(e.select(F.col("lo").alias("n"), F.lit(0).alias("out"), F.lit(1).alias("par"))))
+    bad = (u.groupBy("n").agg(F.sum("out").alias("out"), F.max("par").alias("par"))
+            .filter((F.col("out") > 1) | ((F.col("out") >= 1) & (F.col("par") == 1))))
+    return bad.limit(1).count() == 0
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",

@@ -155,6 +155,20 @@ def q_unscanned(spark: SparkSession, sf: str) -> DataFrame:
     return ledger.unprocessed(ok, done).select("path")
 
 
+def q_cluster_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    return people.cluster_sizes(stages.face_labels(spark, sf))
+
+
+def q_regroup_stats(spark: SparkSession, sf: str) -> DataFrame:
+    cur, placed = stages.current(spark, sf), stages.placed(spark, sf)
+    return people.regroup_stats(people.regroup(cur, placed), cur, placed)
+
+
+def q_first_survivors(spark: SparkSession, sf: str) -> DataFrame:
+    """L3: the first 100 survivors by path (the ``limit N`` trial run)."""
+    return stages.current(spark, sf).filter(F.col("status") == OK).select("path").orderBy("path").limit(100)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_status": q_scan_status,
     "exif_normalize": q_exif_normalize,
@@ -183,4 +197,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "regroup": q_regroup,
     "upsert_merge": q_upsert_merge,
     "unscanned": q_unscanned,
+    "cluster_sizes": q_cluster_sizes,
+    "regroup_stats": q_regroup_stats,
+    "first_survivors": q_first_survivors,
 }

@@ -363,6 +363,13 @@ ORACLE: dict[str, str] = {
     "unscanned": _with(ASSETS, body="""
         SELECT path FROM cur WHERE status = 'ok'
           AND path NOT IN (SELECT path FROM cur WHERE status = 'ok' AND date_taken < '1998')"""),
+    "cluster_sizes": _with(FACES, body="SELECT cluster, n AS images FROM pc_size"),
+    "regroup_stats": _with(ASSETS, LAYOUT, body="""
+        SELECT (SELECT count(*) FROM rg_size) AS clusters_found,
+               (SELECT count(*) FROM rg_size WHERE n >= 10) AS clusters_kept,
+               (SELECT count(*) FROM rg_size WHERE n < 10) AS clusters_dropped,
+               (SELECT count(link) FROM regroup) AS links_created"""),
+    "first_survivors": _with(ASSETS, body="SELECT path FROM cur WHERE status = 'ok' ORDER BY path LIMIT 100"),
     "box_clip": _with(FACES, body="""
         SELECT face_id, x1, y1, x2, y2 FROM (
           SELECT face_id, greatest(0, CAST(trunc(x1) AS INTEGER)) AS x1, greatest(0, CAST(trunc(y1) AS INTEGER)) AS y1,

@@ -12,6 +12,7 @@ from ..operators.exact import exact_duplicates
 from ..operators.scan import scan_status
 from ..operators.status import current_images
 from ..params import DEFAULT, Params
+from ..session import cut_lineage
 from ..sources import fixtures
 
 
@@ -27,11 +28,12 @@ def exact(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
 def current(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
     """Images with statuses after phases 1-2."""
     img = images(spark, sf_dir, p)
-    return current_images(img, exact=exact_duplicates(img))
+    # a stage table: materialised once, read by every later stage
+    return cut_lineage(current_images(img, exact=exact_duplicates(img)))
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixtures.vectors_table(spark, sf_dir)
+    return cut_lineage(fixtures.vectors_table(spark, sf_dir))
 
 
 def near(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
@@ -40,7 +42,7 @@ def near(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
 
 
 def faces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixtures.faces(spark, sf_dir)
+    return cut_lineage(fixtures.faces(spark, sf_dir))
 
 
 def face_labels(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:

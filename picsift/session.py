@@ -18,7 +18,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-         .config("spark.driver.memory", "16g"))
+         .config("spark.driver.memory", "16g")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()

@@ -50,6 +50,11 @@ def decode_images(spark: SparkSession, root: str) -> DataFrame:
 
 TagReader = Callable[[bytes], dict]
 
+# EXIF sits in the APP1 segment (at most 64 KiB) among the application
+# segments that precede the image data, so the tag reader receives the file
+# head instead of the whole file; the bytes stay in the JVM otherwise.
+TAG_HEAD_BYTES = 256 * 1024
+
 
 def no_tags(_: bytes) -> dict:
     return {}
@@ -74,8 +79,8 @@ def tag_map_udf(reader: TagReader):
 def scan_input(spark: SparkSession, root: str, tag_reader: TagReader = no_tags,
                exclude: str | None = None) -> DataFrame:
     """Scan rows ``(path, decode_ok, width, height, tags, sha256)`` for every
-    listed JPEG.  Hash and tags are only computed for files that decode and
-    pass the size rule (``when`` short-circuits per row)."""
+    listed JPEG.  Hash (JVM ``sha2`` over the whole content) and tags are only
+    computed for files that decode (``when`` short-circuits per row)."""
     listing = list_files(spark, root, exclude)
     decoded = decode_images(spark, root).select("path", "decode_ok", "width", "height")
     content = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
@@ -84,7 +89,7 @@ def scan_input(spark: SparkSession, root: str, tag_reader: TagReader = no_tags,
     readable = F.coalesce(F.col("decode_ok"), F.lit(False))
     return rows.select(
         "path", readable.alias("decode_ok"), "width", "height",
-        F.when(readable, tag_map_udf(tag_reader)(F.col("content"))).alias("tags"),
+        F.when(readable, tag_map_udf(tag_reader)(F.substring(F.col("content"), 1, TAG_HEAD_BYTES))).alias("tags"),
         F.when(readable, F.sha2(F.col("content"), 256)).alias("sha256"))
 
 

@@ -33,7 +33,8 @@ def _scan_batch(spark: SparkSession, batch: DataFrame, p: Params, tag_reader) ->
     rows = batch.join(decoded, "path", "left")
     ok = F.coalesce(F.col("decode_ok"), F.lit(False))
     rows = rows.select("path", ok.alias("decode_ok"), "width", "height",
-                       F.when(ok, files.tag_map_udf(tag_reader)(F.col("content"))).alias("tags"),
+                       F.when(ok, files.tag_map_udf(tag_reader)(F.substring(F.col("content"), 1, files.TAG_HEAD_BYTES)))
+                       .alias("tags"),
                        F.when(ok, F.sha2(F.col("content"), 256)).alias("sha256"))
     return scan_status(rows, p)
 

@@ -16,9 +16,12 @@ from ..params import CORRUPT, DEFAULT, OK, TINY, Params
 def scan_status(files: DataFrame, p: Params = DEFAULT, keep: tuple = ()) -> DataFrame:
     w, h = F.col("width"), F.col("height")
     decoded = F.col("decode_ok")
-    status = (F.when(~decoded, F.lit(CORRUPT))
-               .when((w < p.min_width) | (h < p.min_height), F.lit(TINY))
-               .otherwise(F.lit(OK)))
+    status = F.when(~decoded, F.lit(CORRUPT))
+    if p.check_brightness and "lum" in files.columns:
+        # P13 (opt-in): ``lum`` = struct(mean, std) of the luminance
+        status = status.when((F.col("lum.mean") < p.min_brightness) | (F.col("lum.std") < p.min_std),
+                             F.lit(CORRUPT))
+    status = status.when((w < p.min_width) | (h < p.min_height), F.lit(TINY)).otherwise(F.lit(OK))
     ok = status == OK
     # corrupt rows carry no size; tiny rows carry size but no tags or hash
     return files.select(

@@ -30,3 +30,13 @@ def current_images(images: DataFrame, exact: DataFrame | None = None,
 def survivors(images: DataFrame) -> DataFrame:
     """Rows still ``ok``."""
     return images.filter(F.col("status") == OK)
+
+
+def effective_path(images: DataFrame, listing: DataFrame) -> DataFrame:
+    """Read a file from ``new_path`` when a file exists there (the layout
+    was carried out), else from ``path``.  ``listing(path)`` is a file listing."""
+    present = listing.select(F.col("path").alias("new_path"), F.lit(True).alias("_moved"))
+    return (images.join(present, "new_path", "left")
+                  .withColumn("read_path", F.when(F.col("_moved").isNotNull(), F.col("new_path"))
+                                            .otherwise(F.col("path")))
+                  .drop("_moved"))

@@ -62,8 +62,10 @@ class Params:
     # rows per side of one block-pair similarity task (memory per task
     # is about 2 * block_rows * dim * 8 bytes plus the block_rows^2 product)
     block_rows: int = 2048
-    # upper bound on label vectors shipped inside a scoring UDF
-    max_broadcast_labels: int = 20000
+    # opt-in pixel check: near-black or flat frames count as corrupt
+    check_brightness: bool = False
+    min_brightness: float = 10.0
+    min_std: float = 5.0
 
 
 DEFAULT = Params()

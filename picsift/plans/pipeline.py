@@ -20,6 +20,7 @@ Stage tables live as Parquet under ``tables_dir``:
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -33,7 +34,9 @@ from ..operators.ranking import global_index
 from ..operators.scan import scan_status
 from ..operators.status import current_images
 from ..operators.zeroshot import zero_shot
+from ..operators.ledger import mark_processed, unprocessed
 from ..params import DEFAULT, OK, Params
+from ..session import cut_lineage
 from ..sources import files
 
 
@@ -45,6 +48,8 @@ class Models:
     make_face_detector: infer.DetectorFactory | None = None
     make_face_embedder: infer.EmbedderFactory | None = None
     tag_reader: files.TagReader = files.no_tags
+    # Any classifier (path, vec) -> (path, category) replaces zero-shot scoring
+    classify: Callable[[DataFrame], DataFrame] | None = None
 
 
 def _t(tables_dir: str, name: str) -> str:
@@ -63,6 +68,13 @@ def apply(df: DataFrame, tables_dir: str, name: str, partition_by: list[str] | N
     w.parquet(_t(tables_dir, name))
 
 
+def apply_view(links: DataFrame, tables_dir: str, name: str = "links") -> None:
+    """Replace only the views present in ``links`` (dynamic partition
+    overwrite on ``view``), e.g. rebuild ``by_person`` and keep the others."""
+    (links.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy("view").parquet(_t(tables_dir, name)))
+
+
 def current(spark: SparkSession, tables_dir: str) -> DataFrame:
     """The ``images`` view: scan rows with statuses from later phases and the
     values phases 4-5 derived (category, face_cluster_id, new_path)."""
@@ -80,7 +92,8 @@ def current(spark: SparkSession, tables_dir: str) -> DataFrame:
 
 def phase1(spark: SparkSession, source: str, p: Params = DEFAULT, models: Models = Models(),
            exclude: str | None = None) -> DataFrame:
-    return scan_status(files.scan_input(spark, source, models.tag_reader, exclude), p)
+    rows = files.scan_input(spark, source, models.tag_reader, exclude, pixel_stats=p.check_brightness)
+    return scan_status(rows, p)
 
 
 def phase2(spark: SparkSession, tables_dir: str) -> DataFrame:
@@ -121,13 +134,20 @@ def phase4(spark: SparkSession, source: str, tables_dir: str, models: Models, p:
            limit: int | None = None) -> dict[str, DataFrame]:
     out = {}
     emb = read(spark, tables_dir, "embeddings")
-    if emb is not None and models.label_vectors is not None:
+    if emb is not None and models.classify is not None:
+        ok = current(spark, tables_dir).filter(F.col("status") == OK).select("path")
+        out["categories"] = models.classify(ok.join(emb.filter(F.col("vec").isNotNull()), "path")
+                                            .select("path", "vec")).select("path", "category")
+    elif emb is not None and models.label_vectors is not None:
         ok = current(spark, tables_dir).filter(F.col("status") == OK).select("path")
         ids = global_index(ok, ["path"], out="pid")
         z = zero_shot(ids.join(emb.filter(F.col("vec").isNotNull()), "path"), models.label_vectors, "pid", "vec", p)
         out["categories"] = z.join(ids, "pid").select("path", "category", "score")
     if models.make_face_detector is not None and models.make_face_embedder is not None:
         pix = _survivor_pixels(spark, source, tables_dir, limit)
+        ledger = read(spark, tables_dir, "face_scanned")
+        if ledger is not None:                 # P4: only images no earlier run attempted
+            pix = unprocessed(pix, ledger, "path")
         det = infer.detect(pix, "path", ["data", "height", "width", "n_channels"], models.make_face_detector,
                            p.face_conf_threshold)
         ok_boxes = det.filter(F.col("face_ord").isNotNull())
@@ -140,8 +160,14 @@ def phase4(spark: SparkSession, source: str, tables_dir: str, models: Models, p:
         faces = faces.withColumn("fkey", F.concat_ws("#", "path", F.col("face_ord").cast("string")))
         fv = infer.embed(faces, "fkey", ["crop", "crop_h", "crop_w", "n_channels"], models.make_face_embedder,
                          p.infer_batch)
-        faces = faces.select("fkey", "path", "face_ord", "x1", "y1", "x2", "y2").join(fv, "fkey")
-        out["faces"] = faces.drop("fkey")
+        faces = faces.select("fkey", "path", "face_ord", "x1", "y1", "x2", "y2").join(fv, "fkey").drop("fkey")
+        stored = read(spark, tables_dir, "faces")
+        if stored is not None:                 # cluster all faces, old and new (ids stay consistent)
+            faces = stored.unionByName(faces)
+        faces = cut_lineage(faces)             # read before the stored table is overwritten
+        out["faces"] = faces
+        attempted = pix.select("path")         # S8e: failures count as scanned too
+        out["face_scanned"] = cut_lineage(attempted if ledger is None else mark_processed(ledger, attempted))
         pts = global_index(faces.filter(F.col("vec").isNotNull()).select("path", "face_ord", "vec"),
                            ["path", "face_ord"], out="fid")
         lab = dbscan(pts, "fid", "vec", ["path", "face_ord"], p.dbscan_eps, p.dbscan_min_samples, p.block_rows)
@@ -181,12 +207,27 @@ def run(spark: SparkSession, source: str, tables_dir: str, models: Models = Mode
                 raise ValueError("a dry run previews one phase at a time on the stored tables")
             continue
         for name, df in outs.items():
-            apply(df, tables_dir, name, ["year", "month"] if name == "layout" else None)
+            parts = {"layout": ["year", "month"], "links": ["view"]}.get(name)
+            apply(df, tables_dir, name, parts)
     return results
 
 
-def regroup(spark: SparkSession, source: str, tables_dir: str, p: Params = DEFAULT) -> DataFrame:
-    """G11 on the stored tables (no inference)."""
+def regroup(spark: SparkSession, source: str, tables_dir: str, p: Params = DEFAULT,
+            apply_links: bool = False, placed_root: str | None = None) -> DataFrame:
+    """G11 on the stored tables (no inference); with ``apply_links`` the
+    ``by_person`` view of the links table is rebuilt (S13).  ``placed_root``:
+    when the layout has been carried out on disk, only targets found under it
+    get a link (S15); by default the layout manifest is taken as is."""
     cur = current(spark, tables_dir)
     lay = read(spark, tables_dir, "layout")
-    return people.regroup(cur, lay, p)
+    present = files.list_files(spark, placed_root).select("path") if placed_root else None
+    out = people.regroup(cur, lay, p, present=present)
+    if apply_links:
+        lay_paths = lay.select("path", "new_path")
+        links = (out.filter(F.col("link").isNotNull()).join(lay_paths, "path")
+                    .select(F.lit("by_person").alias("view"),
+                            F.regexp_extract("link", r"by_person/([^/]+)/", 1).alias("key"), "link", "path",
+                            F.col("new_path").alias("target")))
+        win = links.groupBy("view", "key", "link").agg(F.min(F.struct("path", "target")).alias("w"))
+        apply_view(cut_lineage(win.select("view", "key", "link", "w.path", "w.target")), tables_dir)
+    return out

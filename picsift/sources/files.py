@@ -77,12 +77,15 @@ def tag_map_udf(reader: TagReader):
 
 
 def scan_input(spark: SparkSession, root: str, tag_reader: TagReader = no_tags,
-               exclude: str | None = None) -> DataFrame:
+               exclude: str | None = None, pixel_stats: bool = False) -> DataFrame:
     """Scan rows ``(path, decode_ok, width, height, tags, sha256)`` for every
     listed JPEG.  Hash (JVM ``sha2`` over the whole content) and tags are only
     computed for files that decode (``when`` short-circuits per row)."""
     listing = list_files(spark, root, exclude)
-    decoded = decode_images(spark, root).select("path", "decode_ok", "width", "height")
+    dec = decode_images(spark, root)
+    extra = [brightness(F.col("data"), F.col("height"), F.col("width"), F.col("n_channels")).alias("lum")] \
+        if pixel_stats else []
+    decoded = dec.select("path", "decode_ok", "width", "height", *extra)
     content = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
                     .select(local_path(F.col("path")).alias("path"), "content"))
     rows = listing.select("path").join(decoded, "path", "left").join(content, "path", "left")
@@ -90,7 +93,8 @@ def scan_input(spark: SparkSession, root: str, tag_reader: TagReader = no_tags,
     return rows.select(
         "path", readable.alias("decode_ok"), "width", "height",
         F.when(readable, tag_map_udf(tag_reader)(F.substring(F.col("content"), 1, TAG_HEAD_BYTES))).alias("tags"),
-        F.when(readable, F.sha2(F.col("content"), 256)).alias("sha256"))
+        F.when(readable, F.sha2(F.col("content"), 256)).alias("sha256"),
+        *(["lum"] if pixel_stats else []))
 
 
 def luminance_grid(rows: int = 8, cols: int = 9):

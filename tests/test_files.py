@@ -49,8 +49,14 @@ def test_pipeline_end_to_end(spark):
     assert all(f.x1 >= 0 and f.y1 >= 0 for f in faces)
     links = pipeline.read(spark, tables, "links").collect()
     assert any(r.view == "by_camera" and r.key == "unknown_camera" for r in links)
-    rg = pipeline.regroup(spark, d, tables, p).collect()
+    rg = pipeline.regroup(spark, d, tables, p, apply_links=True).collect()
     assert len(rg) == 3
+    views = {r.view for r in pipeline.read(spark, tables, "links").collect()}
+    assert views == {"by_category", "by_camera", "by_person"}     # other views kept by the rebuild
+    # a second phase-4 run only detects images no earlier run attempted
+    ledger = pipeline.read(spark, tables, "face_scanned").count()
+    out = pipeline.phase4(spark, d, tables, models, p)
+    assert out["face_scanned"].count() == ledger and out["faces"].count() == 6
 
 
 def test_dry_run_writes_nothing(spark):
@@ -81,3 +87,11 @@ def test_incremental_stream(spark):
     log_rows = spark.read.parquet(log)
     assert log_rows.count() == 8                      # the second run scanned only the new file
     assert current_from_log(spark, log).filter(F.col("status") == "ok").count() == 6
+
+
+def test_schema_conform(spark):
+    from picsift.schema import IMAGES, conform
+    old = spark.createDataFrame([("/a", "ok", 10)], "path string, status string, width long")
+    got = conform(old).collect()[0]
+    assert got.face_cluster_id == -1 and got.face_scanned is False and got.width == 10
+    assert conform(old).schema.fieldNames() == IMAGES.fieldNames()

@@ -112,3 +112,21 @@ def test_driver_contract(spark):
     assert df.columns == ["path", "sha256", "keeper_path", "is_keeper"]
     assert df.count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_layout_numbering_adversarial(spark):
+    """Deep chains, interfering originals and existing files vs the sequential rule."""
+    rnd = random.Random(17)
+    pool = ["a.jpg"] * 6 + ["a_2.jpg", "a_3.jpg", "a_4.jpg", "a_2_2.jpg", "a_2_3.jpg", "a_3_2.jpg",
+                            "a_2_2_2.jpg", "a_10.jpg", "a_1.jpg", "a_02.jpg", "b.jpg", "b_2.jpg"]
+    for trial in range(4):
+        names = [rnd.choice(pool) for _ in range(60)]
+        existing = rnd.sample(["a.jpg", "a_2.jpg", "a_5.jpg", "a_2_2.jpg", "b_3.jpg"], trial)
+        ex_paths = [f"out/by_date/2018/06/{e}" for e in existing]
+        assert _layout(spark, names, existing=ex_paths if existing else None) == _seq(names, existing)
+
+
+def test_layout_hot_name_with_interferers(spark):
+    names = ["a.jpg"] * 400 + ["a_5.jpg", "a_150.jpg", "a_2.jpg", "a_399.jpg"]
+    random.Random(2).shuffle(names)
+    assert _layout(spark, names) == _seq(names)

@@ -34,6 +34,7 @@ def scan_status(files: DataFrame, p: Params = DEFAULT, keep: tuple = ()) -> Data
         F.when(ok, camera_model(F.col("tags"))).alias("camera_model"),
         F.when(ok, F.col("sha256")).alias("sha256"),
         *keep,
+        *(["reason"] if "reason" in files.columns else []),
     )
 
 

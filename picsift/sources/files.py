@@ -41,7 +41,8 @@ def list_files(spark: SparkSession, root: str, exclude: str | None = None) -> Da
 
 def decode_images(spark: SparkSession, root: str) -> DataFrame:
     """S3: ``(path, decode_ok, width, height, n_channels, data)``."""
-    img = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", "true").load(root)
+    img = (spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", "true")
+                .option("ignoreCorruptFiles", "true").load(root))
     return img.select(local_path(F.col("image.origin")).alias("path"),
                       (F.col("image.width") >= 0).alias("decode_ok"),
                       F.col("image.width").alias("width"), F.col("image.height").alias("height"),
@@ -86,12 +87,17 @@ def scan_input(spark: SparkSession, root: str, tag_reader: TagReader = no_tags,
     extra = [brightness(F.col("data"), F.col("height"), F.col("width"), F.col("n_channels")).alias("lum")] \
         if pixel_stats else []
     decoded = dec.select("path", "decode_ok", "width", "height", *extra)
-    content = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    content = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                    .option("ignoreCorruptFiles", "true").load(root)
                     .select(local_path(F.col("path")).alias("path"), "content"))
+    # a listed file the readers could not open is missing on the right: it
+    # is reported (read_error) instead of failing the job
     rows = listing.select("path").join(decoded, "path", "left").join(content, "path", "left")
     readable = F.coalesce(F.col("decode_ok"), F.lit(False))
+    reason = (F.when(F.col("decode_ok").isNull() | F.col("content").isNull(), F.lit("read_error"))
+               .when(~F.col("decode_ok"), F.lit("undecodable")))
     return rows.select(
-        "path", readable.alias("decode_ok"), "width", "height",
+        "path", readable.alias("decode_ok"), "width", "height", reason.alias("reason"),
         F.when(readable, tag_map_udf(tag_reader)(F.substring(F.col("content"), 1, TAG_HEAD_BYTES))).alias("tags"),
         F.when(readable, F.sha2(F.col("content"), 256)).alias("sha256"),
         *(["lum"] if pixel_stats else []))

@@ -25,6 +25,8 @@ def test_scan_real_files(spark):
     import hashlib
     assert sha["a.JPG"] == hashlib.sha256(png(80, 60)).hexdigest() == sha["sub/a_copy.jpg"]
     assert sha["b.jpg"] is None
+    reasons = {os.path.relpath(r.path, d): r.reason for r in img.collect()}
+    assert reasons["c.jpeg"] == "undecodable" and reasons["a.JPG"] is None
 
 
 def test_pipeline_end_to_end(spark):

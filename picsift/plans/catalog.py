@@ -95,7 +95,8 @@ def q_near_dup_list(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_zero_shot(spark: SparkSession, sf: str) -> DataFrame:
     z = zero_shot(fixtures.embedding_vectors(spark, sf), fixtures.label_vectors(spark, sf), "vec_id")
-    return z.select("vec_id", "label_idx", "category", F.round("score", 6).alias("score"))
+    return z.select("vec_id", "label_idx", "category", F.round("score", 6).alias("score"),
+                    F.round("prob", 6).alias("prob"))
 
 
 def q_topk_similar(spark: SparkSession, sf: str) -> DataFrame:

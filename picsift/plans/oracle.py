@@ -311,10 +311,13 @@ ORACLE: dict[str, str] = {
                (SELECT count(*) FROM near WHERE NOT is_keeper) AS removed"""),
     "near_dup_list": _with(VECTORS, body="SELECT asset_id FROM near WHERE NOT is_keeper"),
     "zero_shot": _with(EMB, body="""
-        SELECT vec_id, label_idx, category, round(score, 6) AS score FROM (
-          SELECT e.vec_id, l.label_idx, l.label AS category, list_dot_product(e.vec, l.vec) AS score,
-                 row_number() OVER (PARTITION BY e.vec_id ORDER BY list_dot_product(e.vec, l.vec) DESC, l.label_idx) AS rn
-          FROM emb e CROSS JOIN labels_vec l) WHERE rn = 1"""),
+        SELECT vec_id, label_idx, category, round(score, 6) AS score, round(1.0 / denom, 6) AS prob FROM (
+          SELECT vec_id, label_idx, category, score,
+                 sum(exp(100.0 * (score - mx))) OVER (PARTITION BY vec_id) AS denom,
+                 row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, label_idx) AS rn
+          FROM (SELECT *, max(score) OVER (PARTITION BY vec_id) AS mx FROM (
+                  SELECT e.vec_id, l.label_idx, l.label AS category, list_dot_product(e.vec, l.vec) AS score
+                  FROM emb e CROSS JOIN labels_vec l))) WHERE rn = 1"""),
     "topk_similar": _with(EMB, body="""
         SELECT query_id, CAST(rank AS INTEGER) AS rank, neighbor_id, round(sim, 6) AS sim FROM (
           SELECT a.vec_id AS query_id, b.vec_id AS neighbor_id, list_dot_product(a.vec, b.vec) AS sim,

@@ -97,3 +97,31 @@ def test_schema_conform(spark):
     got = conform(old).collect()[0]
     assert got.face_cluster_id == -1 and got.face_scanned is False and got.width == 10
     assert conform(old).schema.fieldNames() == IMAGES.fieldNames()
+
+
+def test_effective_path_and_dark_frames(spark):
+    from picsift.operators.status import effective_path
+    imgs = spark.createDataFrame([("/src/a.jpg", "out/x/a.jpg"), ("/src/b.jpg", "out/x/b.jpg"), ("/src/c.jpg", None)],
+                                 "path string, new_path string")
+    listing = spark.createDataFrame([("out/x/a.jpg",)], "path string")
+    got = {r.path: r.read_path for r in effective_path(imgs, listing).collect()}
+    assert got == {"/src/a.jpg": "out/x/a.jpg", "/src/b.jpg": "/src/b.jpg", "/src/c.jpg": "/src/c.jpg"}
+    d = tempfile.mkdtemp(prefix="picsift-dark-")
+    import struct
+    import zlib
+
+    def flat_png(w, h, v):
+        raw = b"".join(b"\x00" + bytes([v] * (w * 3)) for _ in range(h))
+
+        def chunk(t, data):
+            return struct.pack(">I", len(data)) + t + data + struct.pack(">I", zlib.crc32(t + data) & 0xffffffff)
+        return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0))
+                + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b""))
+    with open(os.path.join(d, "dark.jpg"), "wb") as f:
+        f.write(flat_png(64, 64, 3))
+    with open(os.path.join(d, "ok.jpg"), "wb") as f:
+        f.write(png(64, 64, seed=4))
+    off = {os.path.basename(r.path): r.status for r in pipeline.phase1(spark, d).collect()}
+    on = {os.path.basename(r.path): r.status for r in pipeline.phase1(spark, d, Params(check_brightness=True)).collect()}
+    assert off == {"dark.jpg": "ok", "ok.jpg": "ok"}
+    assert on == {"dark.jpg": "deleted_corrupt", "ok.jpg": "ok"}

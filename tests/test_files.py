@@ -51,6 +51,12 @@ def test_pipeline_end_to_end(spark):
     assert all(f.x1 >= 0 and f.y1 >= 0 for f in faces)
     links = pipeline.read(spark, tables, "links").collect()
     assert any(r.view == "by_camera" and r.key == "unknown_camera" for r in links)
+    from picsift.plans import audit
+    audit.register(spark, tables)
+    st = {r.status: r.cnt for r in audit.run(spark, "status_breakdown").collect()}
+    assert st == {"ok": 3, "deleted_exact_dup": 1, "deleted_near_dup": 1, "deleted_tiny": 1, "deleted_corrupt": 1}
+    assert [r.path for r in audit.run(spark, "near_duplicates").collect()] == [os.path.join(d, "near.jpg")]
+    assert audit.run(spark, "SELECT count(*) AS n FROM images WHERE new_path IS NOT NULL").first().n == 3
     rg = pipeline.regroup(spark, d, tables, p, apply_links=True).collect()
     assert len(rg) == 3
     views = {r.view for r in pipeline.read(spark, tables, "links").collect()}

@@ -59,9 +59,11 @@ class Params:
     infer_batch: int = INFER_BATCH
     labels: tuple = field(default=LABELS)
     output_root: str = "output"
-    # rows per side of one block-pair similarity task (memory per task
-    # is about 2 * block_rows * dim * 8 bytes plus the block_rows^2 product)
-    block_rows: int = 2048
+    # rows per side of one block-pair similarity task.  Memory per task is
+    # about 2 * block_rows * dim * 8 bytes of vectors, block_rows^2 bytes of
+    # boolean adjacency and a 512-row slice of the float product; all-pairs
+    # jobs shuffle n^2 / block_rows row copies, so larger is cheaper overall.
+    block_rows: int = 8192
     # opt-in pixel check: near-black or flat frames count as corrupt
     check_brightness: bool = False
     min_brightness: float = 10.0

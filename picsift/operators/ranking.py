@@ -5,7 +5,8 @@ task; when one key holds a third of the rows that task holds a third of the
 data.  Here rows are range-partitioned on ``(keys, order)`` instead, so a
 hot key spreads over many partitions; each partition numbers its rows
 locally and a tiny table of per-(partition, key) counts supplies the
-offsets.  The order columns must be unique within a key.
+offsets.  Keys must not be NULL and the order columns must be unique
+within a key.
 """
 
 from __future__ import annotations

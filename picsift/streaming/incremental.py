@@ -22,11 +22,17 @@ BINARY_SCHEMA = T.StructType([
     T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType())])
 
 
-def _scan_batch(spark: SparkSession, batch: DataFrame, p: Params, tag_reader) -> DataFrame:
-    # the image reader needs file names; a micro-batch holds at most
-    # maxFilesPerTrigger of them, so this list is bounded
-    paths = [r.path for r in batch.select("path").collect()]
-    decoded = (spark.read.format("image").option("dropInvalid", False).load(paths)
+def _scan_batch(spark: SparkSession, batch: DataFrame, source: str, p: Params, tag_reader) -> DataFrame:
+    # the image reader is pointed at the batch's modification-time window
+    # (two scalars, formatted and read back in the session time zone) and the
+    # result is matched to the batch's paths; no file list goes through the driver
+    fmt = "yyyy-MM-dd'T'HH:mm:ss"
+    lo, hi = batch.agg(
+        F.date_format(F.min("modificationTime") - F.expr("INTERVAL 1 SECOND"), fmt),
+        F.date_format(F.max("modificationTime") + F.expr("INTERVAL 1 SECOND"), fmt)).first()
+    decoded = (spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", "true")
+                    .option("ignoreCorruptFiles", "true")
+                    .option("modifiedAfter", lo).option("modifiedBefore", hi).load(source)
                     .select(files.local_path(F.col("image.origin")).alias("path"),
                             (F.col("image.width") >= 0).alias("decode_ok"),
                             F.col("image.width").alias("width"), F.col("image.height").alias("height")))
@@ -46,13 +52,13 @@ def incremental_scan(spark: SparkSession, source: str, log_dir: str, checkpoint_
     stream = (spark.readStream.format("binaryFile").schema(BINARY_SCHEMA)
                    .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files)
                    .load(source)
-                   .select(files.local_path(F.col("path")).alias("path"), "content")
+                   .select(files.local_path(F.col("path")).alias("path"), "modificationTime", "content")
                    .filter(F.col("path").rlike(files.JPEG_SUFFIX)))
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        out = _scan_batch(batch.sparkSession, batch, p, tag_reader).withColumn("batch_id", F.lit(epoch_id))
+        out = _scan_batch(batch.sparkSession, batch, source, p, tag_reader).withColumn("batch_id", F.lit(epoch_id))
         out.write.mode("append").partitionBy("batch_id").parquet(log_dir)
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)

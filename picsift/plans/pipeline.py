@@ -23,6 +23,7 @@ import os
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.bits import dhash
@@ -57,8 +58,10 @@ def _t(tables_dir: str, name: str) -> str:
 
 
 def read(spark: SparkSession, tables_dir: str, name: str) -> DataFrame | None:
-    path = _t(tables_dir, name)
-    return spark.read.parquet(path) if os.path.exists(path) or "://" in path else None
+    try:
+        return spark.read.parquet(_t(tables_dir, name))
+    except AnalysisException:          # the stage has not run yet
+        return None
 
 
 def apply(df: DataFrame, tables_dir: str, name: str, partition_by: list[str] | None = None) -> None:
@@ -75,18 +78,24 @@ def apply_view(links: DataFrame, tables_dir: str, name: str = "links") -> None:
           .partitionBy("view").parquet(_t(tables_dir, name)))
 
 
-def current(spark: SparkSession, tables_dir: str) -> DataFrame:
-    """The ``images`` view: scan rows with statuses from later phases and the
-    values phases 4-5 derived (category, face_cluster_id, new_path)."""
+def current(spark: SparkSession, tables_dir: str, upto: int = 6) -> DataFrame:
+    """The ``images`` view: scan rows with the statuses and values of the
+    phases *before* ``upto`` (exact dups from 3 on, near dups from 4 on,
+    categories and person clusters from 5 on, layout from 6 on).  A phase
+    never sees its own earlier output, so re-running it reproduces it (Q4)
+    and never reads the table it overwrites."""
     img = read(spark, tables_dir, "images")
-    cur = current_images(img, read(spark, tables_dir, "exact_dups"), read(spark, tables_dir, "near_dups"))
-    for name, cols in (("categories", ["category"]), ("face_clusters", ["face_cluster_id"]),
-                       ("layout", ["new_path"])):
-        t = read(spark, tables_dir, name)
+    exact = read(spark, tables_dir, "exact_dups") if upto >= 3 else None
+    near = read(spark, tables_dir, "near_dups") if upto >= 4 else None
+    cur = current_images(img, exact, near)
+    later = [("categories", "category", "string", 5), ("face_clusters", "face_cluster_id", "int", 5),
+             ("layout", "new_path", "string", 6)]
+    for name, col, typ, phase in later:
+        t = read(spark, tables_dir, name) if upto >= phase else None
         if t is not None:
-            cur = cur.join(t.select("path", *cols), "path", "left")
+            cur = cur.join(t.select("path", col), "path", "left")
         else:
-            cur = cur.withColumn(cols[0], F.lit(None).cast("int" if cols[0] == "face_cluster_id" else "string"))
+            cur = cur.withColumn(col, F.lit(None).cast(typ))
     return cur.withColumn("face_cluster_id", F.coalesce(F.col("face_cluster_id"), F.lit(-1)))
 
 
@@ -97,11 +106,12 @@ def phase1(spark: SparkSession, source: str, p: Params = DEFAULT, models: Models
 
 
 def phase2(spark: SparkSession, tables_dir: str) -> DataFrame:
-    return exact_duplicates(current(spark, tables_dir))
+    return exact_duplicates(current(spark, tables_dir, upto=2))
 
 
-def _survivor_pixels(spark: SparkSession, source: str, tables_dir: str, limit: int | None = None) -> DataFrame:
-    ok = current(spark, tables_dir).filter(F.col("status") == OK).select("path", "width", "height")
+def _survivor_pixels(spark: SparkSession, source: str, tables_dir: str, upto: int,
+                     limit: int | None = None) -> DataFrame:
+    ok = current(spark, tables_dir, upto).filter(F.col("status") == OK).select("path", "width", "height")
     if limit:
         ok = ok.orderBy("path").limit(limit)          # L3 / Q5: the first N survivors
     pix = files.decode_images(spark, source).select("path", "data", "n_channels")
@@ -110,18 +120,19 @@ def _survivor_pixels(spark: SparkSession, source: str, tables_dir: str, limit: i
 
 def phase3(spark: SparkSession, source: str, tables_dir: str, models: Models, p: Params = DEFAULT,
            limit: int | None = None) -> dict[str, DataFrame]:
-    pix = _survivor_pixels(spark, source, tables_dir, limit)
+    pix = _survivor_pixels(spark, source, tables_dir, 3, limit)
     grid = files.luminance_grid(8, 9)(F.col("data"), F.col("height"), F.col("width"), F.col("n_channels"))
-    fp = pix.select("path", F.when(grid.isNotNull(), dhash(grid, 8, 9)).alias("phash"))
+    # materialised once: written as a stage table and read again below
+    fp = cut_lineage(pix.select("path", F.when(grid.isNotNull(), dhash(grid, 8, 9)).alias("phash")))
     out = {"fingerprints": fp}
     if models.make_image_embedder is None:
         return out
-    emb = infer.embed(pix, "path", ["data", "height", "width", "n_channels"], models.make_image_embedder,
-                      p.infer_batch)
+    emb = cut_lineage(infer.embed(pix, "path", ["data", "height", "width", "n_channels"],
+                                  models.make_image_embedder, p.infer_batch))     # inference runs once
     out["embeddings"] = emb
     ids = global_index(fp.select("path"), ["path"], out="pid")
     rows = (ids.join(fp, "path").join(emb.select("path", "vec"), "path", "left")
-               .join(current(spark, tables_dir).select("path", "width", "height", "date_taken"), "path"))
+               .join(current(spark, tables_dir, 3).select("path", "width", "height", "date_taken"), "path"))
     near = near_duplicates(rows, "pid", p)
     out["near_dups"] = near.join(ids, "pid").select(
         "path", "candidate_group", "near_group",
@@ -135,16 +146,16 @@ def phase4(spark: SparkSession, source: str, tables_dir: str, models: Models, p:
     out = {}
     emb = read(spark, tables_dir, "embeddings")
     if emb is not None and models.classify is not None:
-        ok = current(spark, tables_dir).filter(F.col("status") == OK).select("path")
+        ok = current(spark, tables_dir, 4).filter(F.col("status") == OK).select("path")
         out["categories"] = models.classify(ok.join(emb.filter(F.col("vec").isNotNull()), "path")
                                             .select("path", "vec")).select("path", "category")
     elif emb is not None and models.label_vectors is not None:
-        ok = current(spark, tables_dir).filter(F.col("status") == OK).select("path")
+        ok = current(spark, tables_dir, 4).filter(F.col("status") == OK).select("path")
         ids = global_index(ok, ["path"], out="pid")
         z = zero_shot(ids.join(emb.filter(F.col("vec").isNotNull()), "path"), models.label_vectors, "pid", "vec", p)
         out["categories"] = z.join(ids, "pid").select("path", "category", "score")
     if models.make_face_detector is not None and models.make_face_embedder is not None:
-        pix = _survivor_pixels(spark, source, tables_dir, limit)
+        pix = _survivor_pixels(spark, source, tables_dir, 4, limit)
         ledger = read(spark, tables_dir, "face_scanned")
         if ledger is not None:                 # P4: only images no earlier run attempted
             pix = unprocessed(pix, ledger, "path")
@@ -178,7 +189,7 @@ def phase4(spark: SparkSession, source: str, tables_dir: str, models: Models, p:
 
 
 def phase5(spark: SparkSession, source: str, tables_dir: str, p: Params = DEFAULT) -> dict[str, DataFrame]:
-    placed = layout.place_files(current(spark, tables_dir), p, listing=files.list_files(spark, source))
+    placed = layout.place_files(current(spark, tables_dir, 5), p, listing=files.list_files(spark, source))
     return {"layout": placed.select("path", "year", "month", "dst_dir", "new_path"),
             "links": layout.view_links(placed, p)}
 

@@ -20,6 +20,7 @@ from ..operators.zeroshot import zero_shot
 from ..sources import fixtures
 from ..operators.status import current_images
 from ..params import OK
+from ..session import cut_lineage
 from . import stages
 
 
@@ -83,8 +84,8 @@ def q_near_dups(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_near_dup_stats(spark: SparkSession, sf: str) -> DataFrame:
     v = stages.vectors(spark, sf)
-    cand = hamming.candidate_groups(v, "asset_id", "phash", 8)
-    return near_ops.near_dup_stats(cand, near_ops.near_duplicates(v, "asset_id"))
+    cand = cut_lineage(hamming.candidate_groups(v, "asset_id", "phash", 8))
+    return near_ops.near_dup_stats(cand, near_ops.near_duplicates(v, "asset_id", cand=cand))
 
 
 def q_near_dup_list(spark: SparkSession, sf: str) -> DataFrame:

@@ -30,16 +30,20 @@ def _unit_rows(m: np.ndarray) -> list:
 
 
 def embed(df: DataFrame, key: str, inputs: list[str], make_embedder: EmbedderFactory,
-          batch_size: int = 64, out: str = "vec") -> DataFrame:
-    """``(key, out array<double> unit norm or NULL, error string)``."""
+          batch_size: int = 64, out: str = "vec", carry: list[str] | None = None) -> DataFrame:
+    """``(key, out array<double> unit norm or NULL, error string,
+    *carry)``; ``carry`` columns pass through unchanged, so values computed
+    from the same decoded pixels (e.g. a fingerprint) need no second read."""
+    carry = list(carry or [])
     key_type = df.schema[key].dataType
     schema = T.StructType([T.StructField(key, key_type), T.StructField(out, T.ArrayType(T.DoubleType())),
-                           T.StructField("error", T.StringType())])
+                           T.StructField("error", T.StringType())] + [df.schema[c] for c in carry])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fn = make_embedder()
         for pdf in batches:
             keys, vecs, errs = [], [], []
+            extra = {c: [] for c in carry}
             for s in range(0, len(pdf), batch_size):
                 chunk = pdf.iloc[s:s + batch_size]
                 try:
@@ -57,8 +61,10 @@ def embed(df: DataFrame, key: str, inputs: list[str], make_embedder: EmbedderFac
                 keys.extend(chunk[key].tolist())
                 vecs.extend(rows)
                 errs.extend(errs_chunk)
-            yield pd.DataFrame({key: keys, out: vecs, "error": errs})
-    return df.select(key, *inputs).mapInPandas(run, schema)
+                for c in carry:
+                    extra[c].extend(chunk[c].tolist())
+            yield pd.DataFrame({key: keys, out: vecs, "error": errs, **extra})
+    return df.select(key, *dict.fromkeys(inputs + carry)).mapInPandas(run, schema)
 
 
 DETECTION_SCHEMA = ("{key} {ktype}, face_ord int, x1 double, y1 double, x2 double, y2 double, conf double, "

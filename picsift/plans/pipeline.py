@@ -122,14 +122,19 @@ def phase3(spark: SparkSession, source: str, tables_dir: str, models: Models, p:
            limit: int | None = None) -> dict[str, DataFrame]:
     pix = _survivor_pixels(spark, source, tables_dir, 3, limit)
     grid = files.luminance_grid(8, 9)(F.col("data"), F.col("height"), F.col("width"), F.col("n_channels"))
-    # materialised once: written as a stage table and read again below
-    fp = cut_lineage(pix.select("path", F.when(grid.isNotNull(), dhash(grid, 8, 9)).alias("phash")))
-    out = {"fingerprints": fp}
+    pix = pix.withColumn("phash", F.when(grid.isNotNull(), dhash(grid, 8, 9)))
     if models.make_image_embedder is None:
-        return out
-    emb = cut_lineage(infer.embed(pix, "path", ["data", "height", "width", "n_channels"],
-                                  models.make_image_embedder, p.infer_batch))     # inference runs once
-    out["embeddings"] = emb
+        return {"fingerprints": pix.select("path", "phash")}
+    # one decode feeds both the fingerprint and the model; materialised once
+    # because it is written as two stage tables and read again below.  The
+    # 64-bit hash travels through pandas as text (a nullable int64 column
+    # would become float64 there and lose bits).
+    both = cut_lineage(infer.embed(pix.withColumn("phash_text", F.col("phash").cast("string")), "path",
+                                   ["data", "height", "width", "n_channels"], models.make_image_embedder,
+                                   p.infer_batch, carry=["phash_text"]))
+    fp = both.select("path", F.col("phash_text").cast("long").alias("phash"))
+    emb = both.select("path", "vec", "error")
+    out = {"fingerprints": fp, "embeddings": emb}
     ids = global_index(fp.select("path"), ["path"], out="pid")
     rows = (ids.join(fp, "path").join(emb.select("path", "vec"), "path", "left")
                .join(current(spark, tables_dir, 3).select("path", "width", "height", "date_taken"), "path"))

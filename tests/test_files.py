@@ -46,6 +46,13 @@ def test_pipeline_end_to_end(spark):
     # two files named e.jpg land in one folder: the second gets e_2.jpg
     assert sorted(cur[k].new_path for k in ("e.jpg", "sub/e.jpg")) == ["out/by_date/unknown/e.jpg",
                                                                          "out/by_date/unknown/e_2.jpg"]
+    # fingerprints written in the shared decode pass equal a direct computation (no lost bits)
+    from picsift.functions.bits import dhash
+    dec = files.decode_images(spark, d).filter(F.col("decode_ok"))
+    g = files.luminance_grid(8, 9)(F.col("data"), F.col("height"), F.col("width"), F.col("n_channels"))
+    direct = {r.path: r.h for r in dec.select("path", dhash(g, 8, 9).alias("h")).collect()}
+    stored = {r.path: r.phash for r in pipeline.read(spark, tables, "fingerprints").collect()}
+    assert stored and all(stored[k] == direct[k] for k in stored)
     faces = pipeline.read(spark, tables, "faces").collect()
     assert len(faces) == 6                      # two confident boxes per surviving image
     assert all(f.x1 >= 0 and f.y1 >= 0 for f in faces)

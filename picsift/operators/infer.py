@@ -72,30 +72,36 @@ DETECTION_SCHEMA = ("{key} {ktype}, face_ord int, x1 double, y1 double, x2 doubl
 
 
 def detect(df: DataFrame, key: str, inputs: list[str], make_detector: DetectorFactory,
-           conf: float, width: str = "width", height: str = "height") -> DataFrame:
+           conf: float, width: str = "width", height: str = "height",
+           carry: list[str] | None = None) -> DataFrame:
     """One row per detection at confidence ``>= conf`` (the detector's own
     threshold), or one row with ``face_ord`` NULL and ``error`` set when the
-    detector failed for the image.  Images without faces yield no row."""
+    detector failed for the image.  Images without faces yield no row.
+    ``carry`` columns (e.g. the decoded pixels, for cropping) are repeated on
+    each detection row, so the image is not decoded a second time."""
+    carry = list(carry or [])
     ktype = df.schema[key].dataType.simpleString()
-    schema = DETECTION_SCHEMA.format(key=key, ktype=ktype)
+    schema = T.StructType(T._parse_datatype_string(DETECTION_SCHEMA.format(key=key, ktype=ktype)).fields
+                          + [df.schema[c] for c in carry]) if carry else DETECTION_SCHEMA.format(key=key, ktype=ktype)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fn = make_detector()
         for pdf in batches:
             out = []
             for _, row in pdf.iterrows():
+                extra = tuple(row[c] for c in carry)
                 try:
                     boxes = [b for b in fn(row[inputs]) if b[4] >= conf]
                 except Exception as e:  # noqa: BLE001
                     out.append((row[key], None, None, None, None, None, None, row[width], row[height],
-                                f"{type(e).__name__}: {e}"))
+                                f"{type(e).__name__}: {e}") + extra)
                     continue
                 for i, (x1, y1, x2, y2, c) in enumerate(boxes):
                     out.append((row[key], i, float(x1), float(y1), float(x2), float(y2), float(c),
-                                row[width], row[height], None))
-            cols = [key, "face_ord", "x1", "y1", "x2", "y2", "conf", "img_w", "img_h", "error"]
+                                row[width], row[height], None) + extra)
+            cols = [key, "face_ord", "x1", "y1", "x2", "y2", "conf", "img_w", "img_h", "error"] + carry
             yield pd.DataFrame(out, columns=cols)
-    return df.select(key, *{*inputs, width, height}).mapInPandas(run, schema)
+    return df.select(key, *dict.fromkeys(inputs + [width, height] + carry)).mapInPandas(run, schema)
 
 
 @F.pandas_udf(T.BinaryType())

@@ -160,29 +160,33 @@ def phase4(spark: SparkSession, source: str, tables_dir: str, models: Models, p:
         z = zero_shot(ids.join(emb.filter(F.col("vec").isNotNull()), "path"), models.label_vectors, "pid", "vec", p)
         out["categories"] = z.join(ids, "pid").select("path", "category", "score")
     if models.make_face_detector is not None and models.make_face_embedder is not None:
-        pix = _survivor_pixels(spark, source, tables_dir, 4, limit)
+        survivors = current(spark, tables_dir, 4).filter(F.col("status") == OK).select("path", "width", "height")
+        if limit:
+            survivors = survivors.orderBy("path").limit(limit)
         ledger = read(spark, tables_dir, "face_scanned")
         if ledger is not None:                 # P4: only images no earlier run attempted
-            pix = unprocessed(pix, ledger, "path")
+            survivors = unprocessed(survivors, ledger, "path")
+        pix = survivors.join(files.decode_images(spark, source).select("path", "data", "n_channels"), "path")
         det = infer.detect(pix, "path", ["data", "height", "width", "n_channels"], models.make_face_detector,
-                           p.face_conf_threshold)
+                           p.face_conf_threshold, carry=["data", "n_channels"])
         ok_boxes = det.filter(F.col("face_ord").isNotNull())
-        clipped = boxes.clip_boxes(ok_boxes.withColumn("face_id", F.struct("path", "face_ord")), p)
+        clipped = boxes.clip_boxes(ok_boxes.withColumn("face_id", F.struct("path", "face_ord")), p,
+                                   keep=("img_w", "img_h", "data", "n_channels"))
+        # crops come from the pixels carried along with each detection: one decode per image
         faces = (clipped.select(F.col("face_id.path").alias("path"), F.col("face_id.face_ord").alias("face_ord"),
-                                "x1", "y1", "x2", "y2")
-                 .join(pix, "path")
-                 .withColumn("crop", infer.crop("data", "height", "width", "n_channels", "x1", "y1", "x2", "y2"))
+                                "x1", "y1", "x2", "y2", "img_w", "img_h", "data", "n_channels")
+                 .withColumn("crop", infer.crop("data", "img_h", "img_w", "n_channels", "x1", "y1", "x2", "y2"))
                  .withColumn("crop_h", F.col("y2") - F.col("y1")).withColumn("crop_w", F.col("x2") - F.col("x1")))
         faces = faces.withColumn("fkey", F.concat_ws("#", "path", F.col("face_ord").cast("string")))
         fv = infer.embed(faces, "fkey", ["crop", "crop_h", "crop_w", "n_channels"], models.make_face_embedder,
-                         p.infer_batch)
-        faces = faces.select("fkey", "path", "face_ord", "x1", "y1", "x2", "y2").join(fv, "fkey").drop("fkey")
+                         p.infer_batch, carry=["path", "face_ord", "x1", "y1", "x2", "y2"])
+        faces = fv.select("path", "face_ord", "x1", "y1", "x2", "y2", "vec", "error")
         stored = read(spark, tables_dir, "faces")
         if stored is not None:                 # cluster all faces, old and new (ids stay consistent)
             faces = stored.unionByName(faces)
         faces = cut_lineage(faces)             # read before the stored table is overwritten
         out["faces"] = faces
-        attempted = pix.select("path")         # S8e: failures count as scanned too
+        attempted = survivors.select("path")   # S8e: failures count as scanned too
         out["face_scanned"] = cut_lineage(attempted if ledger is None else mark_processed(ledger, attempted))
         pts = global_index(faces.filter(F.col("vec").isNotNull()).select("path", "face_ord", "vec"),
                            ["path", "face_ord"], out="fid")

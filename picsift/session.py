@@ -36,7 +36,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     fresh temporary folder is taken; on a cluster a missing setting is an error
     because a machine-local folder would not survive executor loss.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:       # Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -110,6 +110,13 @@ def q_dbscan_labels(spark: SparkSession, sf: str) -> DataFrame:
     return stages.face_labels(spark, sf).select("face_id", "cluster")
 
 
+def q_dbscan_min3_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """G6 with min_samples = 3: core points, border points, noise."""
+    from ..operators.dbscan import dbscan
+    f = stages.faces(spark, sf)
+    return dbscan(f, "face_id", "vec", ["img", "face_ord"], 0.4, 3)
+
+
 def q_person_clusters(spark: SparkSession, sf: str) -> DataFrame:
     return people.person_clusters(stages.face_labels(spark, sf))
 
@@ -190,6 +197,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zero_shot": q_zero_shot,
     "topk_similar": q_topk_similar,
     "dbscan_labels": q_dbscan_labels,
+    "dbscan_min3_labels": q_dbscan_min3_labels,
     "person_clusters": q_person_clusters,
     "cluster_report": q_cluster_report,
     "box_clip": q_box_clip,

@@ -174,7 +174,7 @@ fedge AS (
 ),
 fedge2 AS (SELECT x, y FROM fedge UNION ALL SELECT y, x FROM fedge),
 deg AS (SELECT x AS face_id, count(*) AS nb FROM fedge2 GROUP BY x),
-core AS (SELECT face_id FROM deg WHERE nb + 1 >= 2),
+core AS (SELECT face_id FROM deg WHERE nb + 1 >= MIN_SAMPLES),
 cedges AS (
   SELECT e.x, e.y FROM fedge2 e JOIN core a ON a.face_id = e.x JOIN core b ON b.face_id = e.y
 ),
@@ -215,6 +215,8 @@ persons AS (
   SELECT p.img, CAST(CASE WHEN s.n >= 10 THEN p.cluster ELSE -1 END AS INTEGER) AS cluster_id
   FROM pc_img p LEFT JOIN pc_size s ON s.cluster = p.cluster
 )"""
+FACES_M3 = FACES.replace("MIN_SAMPLES", "3")
+FACES = FACES.replace("MIN_SAMPLES", "2")
 
 
 LAYOUT = r"""
@@ -324,6 +326,7 @@ ORACLE: dict[str, str] = {
                  row_number() OVER (PARTITION BY a.vec_id ORDER BY list_dot_product(a.vec, b.vec) DESC, b.vec_id) AS rank
           FROM emb a JOIN emb b ON a.vec_id <> b.vec_id) WHERE rank <= 5"""),
     "dbscan_labels": _with(FACES, body="SELECT face_id, cluster FROM dbscan"),
+    "dbscan_min3_labels": _with(FACES_M3, body="SELECT face_id, cluster FROM dbscan"),
     "person_clusters": _with(FACES, body="SELECT img, cluster_id FROM persons"),
     "cluster_report": _with(FACES, body="""
         SELECT (SELECT count(*) FROM dbscan) AS faces,

@@ -2,11 +2,11 @@
 
 The file stream source remembers which files it has already delivered (in
 its checkpoint), so each run scans only new files -- the streaming form of
-"skip what a previous run processed" (P4).  Each micro-batch appends its
-scan decisions, tagged with the batch id, to an append-only log; the current
-``images`` table is the latest row per path (S7 by last write).  Append-only
-output plus the source checkpoint makes a batch replay after a failure
-idempotent at read time (a replayed batch carries the same id and rows).
+"skip what a previous run processed" (P4).  Each micro-batch writes its scan
+decisions into its own ``batch_id`` partition of a decision log (dynamic
+partition overwrite, so a batch replayed after a failure replaces its own
+output); the current ``images`` table is the latest row per path (S7 by
+last write).
 """
 
 from __future__ import annotations
@@ -59,7 +59,9 @@ def incremental_scan(spark: SparkSession, source: str, log_dir: str, checkpoint_
         if batch.isEmpty():
             return
         out = _scan_batch(batch.sparkSession, batch, source, p, tag_reader).withColumn("batch_id", F.lit(epoch_id))
-        out.write.mode("append").partitionBy("batch_id").parquet(log_dir)
+        # a batch replayed after a failure overwrites its own partition: exactly-once output
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id").parquet(log_dir))
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -144,3 +144,12 @@ def test_effective_path_and_dark_frames(spark):
     on = {os.path.basename(r.path): r.status for r in pipeline.phase1(spark, d, Params(check_brightness=True)).collect()}
     assert off == {"dark.jpg": "ok", "ok.jpg": "ok"}
     assert on == {"dark.jpg": "deleted_corrupt", "ok.jpg": "ok"}
+
+
+def test_pipeline_limit_runs_first_survivors_only(spark):
+    d = make_tree(tempfile.mkdtemp(prefix="picsift-img-"))
+    tables = tempfile.mkdtemp(prefix="picsift-tables-")
+    pipeline.run(spark, d, tables, phases=(1, 2))
+    out = pipeline.phase3(spark, d, tables, pipeline.Models(make_image_embedder=toy_embedder), Params(), limit=2)
+    fp = sorted(os.path.relpath(r.path, d) for r in out["fingerprints"].collect())
+    assert fp == ["a.JPG", "e.jpg"]            # first two survivors by path

@@ -13,12 +13,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..session import cut_lineage
+
 
 def _ranged(df: DataFrame, cols: list[str], partitions: int | None) -> DataFrame:
+    """Range-partitioned, sorted rows tagged with their partition id and a
+    position id.  Both ids are evaluated once and stored: the offsets table
+    and the rows it is joined back to must see the same values, and two
+    evaluations of a range-partitioned plan need not place rows identically."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
+    return cut_lineage(df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+                         .withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_mid", F.monotonically_increasing_id()))
 
 
 def rank_within(df: DataFrame, keys: list[str], order: list[str], out: str = "rn",

@@ -130,3 +130,20 @@ def test_layout_hot_name_with_interferers(spark):
     names = ["a.jpg"] * 400 + ["a_5.jpg", "a_150.jpg", "a_2.jpg", "a_399.jpg"]
     random.Random(2).shuffle(names)
     assert _layout(spark, names) == _seq(names)
+
+
+def test_rank_within_matches_window_on_shuffled_input(spark):
+    """Ranks over an input that itself comes out of shuffles (the stage-table
+    case); compared with a plain window numbering."""
+    from pyspark.sql import Window
+    base = spark.range(0, 30000).select((F.col("id") * 7919 % 30011).alias("o"),
+                                        F.when(F.col("id") % 3 == 0, F.lit("hot"))
+                                         .otherwise(F.concat(F.lit("k"), (F.col("id") % 41).cast("string"))).alias("k"))
+    other = base.groupBy("k").count()
+    df = base.join(other, "k").select("k", F.col("o").cast("string").alias("o"))
+    got = rank_within(df, ["k"], ["o"], partitions=8)
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("o")))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    gi = global_index(df, ["k", "o"], partitions=8)
+    wi = df.withColumn("idx", F.row_number().over(Window.orderBy("k", "o")) - 1)
+    assert gi.exceptAll(wi).count() == 0 and wi.exceptAll(gi).count() == 0

@@ -132,18 +132,21 @@ def test_layout_hot_name_with_interferers(spark):
     assert _layout(spark, names) == _seq(names)
 
 
-def test_rank_within_matches_window_on_shuffled_input(spark):
-    """Ranks over an input that itself comes out of shuffles (the stage-table
-    case); compared with a plain window numbering."""
+def test_layout_numbering_at_sf01_matches_window(spark):
+    """The sf0.1 assets put hundreds of same-named files into one folder; the
+    ranked frame feeds several branches of one plan.  Every destination must
+    equal a plain window numbering (no clashing families exist there)."""
     from pyspark.sql import Window
-    base = spark.range(0, 30000).select((F.col("id") * 7919 % 30011).alias("o"),
-                                        F.when(F.col("id") % 3 == 0, F.lit("hot"))
-                                         .otherwise(F.concat(F.lit("k"), (F.col("id") % 41).cast("string"))).alias("k"))
-    other = base.groupBy("k").count()
-    df = base.join(other, "k").select("k", F.col("o").cast("string").alias("o"))
-    got = rank_within(df, ["k"], ["o"], partitions=8)
-    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("o")))
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    gi = global_index(df, ["k", "o"], partitions=8)
-    wi = df.withColumn("idx", F.row_number().over(Window.orderBy("k", "o")) - 1)
-    assert gi.exceptAll(wi).count() == 0 and wi.exceptAll(gi).count() == 0
+    from picsift.functions import paths as P
+    from picsift.plans import stages
+    placed = stages.placed(spark, "/root/testdata/sf0.1")
+    name = P.basename(F.col("path"))
+    w = Window.partitionBy("dst_dir", "_n").orderBy("path")
+    want = (placed.select("path", "dst_dir", name.alias("_n"))
+                  .withColumn("rn", F.row_number().over(w))
+                  .select("path", F.concat_ws("/", "dst_dir", F.when(F.col("rn") == 1, F.col("_n")).otherwise(
+                      F.concat(P.stem(F.col("_n")), F.lit("_"), F.col("rn").cast("string"), P.suffix(F.col("_n")))))
+                          .alias("new_path")))
+    got = placed.select("path", "new_path")
+    assert got.count() == want.count() == 8631
+    assert got.exceptAll(want).count() == 0

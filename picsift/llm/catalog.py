@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 from .bpe import op7_byte_bpe
+from .langid import op5_language
+from .quality import op3_quality
 from .simhash import op6_simhash
+from .tiling import op4_decontamination
 
 QUERIES = {
+    "op3_quality_classifier": op3_quality,
+    "op4_benchmark_decontamination": op4_decontamination,
+    "op5_language_id": op5_language,
     "op6_simhash_near_dedup": op6_simhash,
     "op7_byte_bpe": op7_byte_bpe,
 }

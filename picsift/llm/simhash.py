@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.components import connected_components
-from .common import read, stored, with_text_function
+from .common import fresh, read, stored, with_text_function
 
 #: The contract's values.
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
@@ -155,14 +155,16 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, hot: int = HOT, block: int =
 
 def components(prints: DataFrame, max_bits: int = MAX_BITS, doc_id: str = "doc_id",
                hot: int = HOT, block: int = BLOCK) -> DataFrame:
-    """(fp, component_id) for each different fingerprint of (doc_id, fp) rows."""
+    """(fp, root, component_id) for each different fingerprint of (doc_id, fp)
+    rows; root is the smallest fingerprint of the component."""
     reps = stored(prints.groupBy("fp").agg(F.min(doc_id).alias("first_id")))
     roots = connected_components(links(reps, max_bits, hot, block)).withColumnRenamed("node", "fp")
     linked = stored(reps.join(roots, "fp"))
     least = stored(linked.groupBy("root").agg(F.min("first_id").alias("linked_id")))
-    named = linked.join(least, "root").select("fp", "linked_id")
+    named = linked.join(least, "root").select("fp", "root", "linked_id")
     return (reps.join(named, "fp", "left")
-            .select("fp", F.coalesce("linked_id", "first_id").alias("component_id")))
+            .select("fp", F.coalesce("root", "fp").alias("root"),
+                    F.coalesce("linked_id", "first_id").alias("component_id")))
 
 
 def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE,
@@ -176,3 +178,26 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", s
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage: of each group the document with the smallest doc_id stays, with its
+    columns.  Rows that share that id are repeated rows; one of them, the least by all its
+    columns, stays.  Where no document of a group has an id, one without id stays."""
+    prints = stored(fingerprints(docs))
+    named = stored(components(prints))
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    by_id = stored(prints.join(named, "fp").groupBy(F.col("doc_id").alias("kept_id"))
+                   .agg(F.count(F.lit(1)).alias("id_rows"), F.max(stays).alias("stays")).filter("stays"))
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id"))
+    single = (F.col("id_rows") == 1) & F.col("kept_id").isNotNull()
+    once = docs.join(by_id.filter(single), same, "left_semi")
+    more = docs.join(by_id.filter(~single), same, "left_semi")
+    fp = fresh("fp", docs.columns)
+    group = named.select(F.col("fp").alias("group_fp"), "root", "component_id")
+    one = (fingerprints(more.select(F.col("doc_id").alias("own_id"), F.struct(*docs.columns).alias("row"), "text"),
+                        keep=("own_id", "row"), name=fp)
+           .join(group, F.col(fp) == F.col("group_fp"))
+           .filter(F.col("own_id").eqNullSafe(F.col("component_id")))
+           .groupBy("root").agg(F.min("row").alias("row")))
+    return once.unionByName(one.select("row.*"))

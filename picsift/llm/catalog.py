@@ -3,17 +3,30 @@
 from __future__ import annotations
 
 from .bpe import op7_byte_bpe
+from .chat import OP10_SQL, op10_chat
 from .langid import op5_language
+from .multiset import op1_fingerprints
 from .quality import op3_quality
+from .sharding import op2_sharding
 from .simhash import op6_simhash
 from .tiling import op4_decontamination
+from .tokencount import op8_token_counts
+from .urls import OP9_SQL, op9_url_filters
 
 QUERIES = {
+    "op1_document_fingerprints": op1_fingerprints,
+    "op2_sharding": op2_sharding,
     "op3_quality_classifier": op3_quality,
     "op4_benchmark_decontamination": op4_decontamination,
     "op5_language_id": op5_language,
     "op6_simhash_near_dedup": op6_simhash,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_token_counts": op8_token_counts,
+    "op9_url_filters": op9_url_filters,
+    "op10_chat_formatting": op10_chat,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_url_filters": OP9_SQL,
+    "op10_chat_formatting": OP10_SQL,
+}

@@ -187,12 +187,13 @@ def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prints = stored(fingerprints(docs))
     named = stored(components(prints))
     stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    by_id = stored(prints.join(named, "fp").groupBy(F.col("doc_id").alias("kept_id"))
+    kept_id = fresh("kept_id", docs.columns)
+    by_id = stored(prints.join(named, "fp").groupBy(F.col("doc_id").alias(kept_id))
                    .agg(F.count(F.lit(1)).alias("id_rows"), F.max(stays).alias("stays")).filter("stays"))
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id"))
-    single = (F.col("id_rows") == 1) & F.col("kept_id").isNotNull()
-    once = docs.join(by_id.filter(single), same, "left_semi")
-    more = docs.join(by_id.filter(~single), same, "left_semi")
+    same = F.col("doc_id").eqNullSafe(F.col(kept_id))
+    single = (F.col("id_rows") == 1) & F.col(kept_id).isNotNull()
+    once = docs.join(by_id.filter(single).select(kept_id), same, "left_semi")
+    more = docs.join(by_id.filter(~single).select(kept_id), same, "left_semi")
     fp = fresh("fp", docs.columns)
     group = named.select(F.col("fp").alias("group_fp"), "root", "component_id")
     one = (fingerprints(more.select(F.col("doc_id").alias("own_id"), F.struct(*docs.columns).alias("row"), "text"),

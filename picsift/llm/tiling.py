@@ -243,9 +243,9 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage: documents that hold no benchmark item stay, with their columns."""
+    key, found_id, found_key = (fresh(n, docs.columns) for n in ("text_key", "found_id", "found_key"))
     found = stored(contaminated(docs, read(spark, sf_dir, "benchmark"))
-                   .select(F.col("doc_id").alias("found_id"), F.col("text_key").alias("found_key")).distinct())
-    key = fresh("text_key", docs.columns)
+                   .select(F.col("doc_id").alias(found_id), F.col("text_key").alias(found_key)).distinct())
     return (docs.withColumn(key, F.xxhash64("text"))
-            .join(found, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col(key) == F.col("found_key")), "left_anti")
+            .join(found, F.col("doc_id").eqNullSafe(F.col(found_id)) & (F.col(key) == F.col(found_key)), "left_anti")
             .select(*docs.columns))

@@ -27,8 +27,3 @@ def dot(a: Column, b: Column) -> Column:
     """Inner product; equals cosine similarity on unit vectors."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")),
                        F.lit(0.0).cast("double"), lambda acc, x: acc + x)
-
-
-def cosine_distance(a: Column, b: Column) -> Column:
-    """1 - cosine on unit vectors."""
-    return F.lit(1.0) - dot(a, b)

@@ -1,11 +1,12 @@
 """Connected components of an edge DataFrame.
 
 Alternating large-star / small-star rounds (Kiveris et al., "Connected
-Components in MapReduce and Beyond", 2014).  Every step is a grouped ``min``
-plus an equi-join on the node id, so a hub node is aggregated map-side and
-its edges are split by AQE's skew-join handling; no component is ever
-gathered into one task.  Each round is written to the shared checkpoint
-folder, which bounds the lineage and makes a lost executor cost one round.
+Components in MapReduce and Beyond", 2014).  Every step is a grouped ``min``,
+which is combined map-side, and an equi-join on the node id.  The minima are
+stored before the join, so that both its sides are plain shuffles and AQE
+splits the edges of a hub node; no component is ever gathered into one task.
+Each step is written to the shared checkpoint folder, which bounds the lineage
+and makes a lost executor cost one step.
 """
 
 from __future__ import annotations
@@ -18,13 +19,13 @@ from ..session import cut_lineage
 def _large_star(e: DataFrame) -> DataFrame:
     both = (e.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
              .unionByName(e.select(F.col("hi").alias("u"), F.col("lo").alias("v"))))
-    m = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    m = cut_lineage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
     return (both.filter(F.col("v") > F.col("u")).join(m, "u")
                 .select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct())
 
 
 def _small_star(e: DataFrame) -> DataFrame:
-    m = e.groupBy("hi").agg(F.min("lo").alias("m"))
+    m = cut_lineage(e.groupBy("hi").agg(F.min("lo").alias("m")))
     moved = (e.join(m, "hi").filter(F.col("lo") != F.col("m"))
               .select(F.col("lo").alias("hi"), F.col("m").alias("lo")))
     own = m.select("hi", F.col("m").alias("lo"))
@@ -54,7 +55,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     while not _is_star_forest(e):
         if rounds == max_rounds:
             raise RuntimeError("connected components did not converge")
-        e = cut_lineage(_small_star(_large_star(e)))
+        e = cut_lineage(_small_star(cut_lineage(_large_star(e))))
         rounds += 1
     roots = e.select(F.col("lo").alias("node")).distinct().withColumn("root", F.col("node"))
     return e.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(roots)

@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 # make_embedder() -> fn(pandas.DataFrame of input columns) -> np.ndarray (n, d)
 EmbedderFactory = Callable[[], Callable[[pd.DataFrame], np.ndarray]]
-# make_detector() -> fn(one input row as a pandas.Series) -> list of (x1, y1, x2, y2, conf)
-DetectorFactory = Callable[[], Callable[[pd.Series], list]]
+# make_detector() -> fn(pandas.DataFrame of input columns) -> for each row a list of (x1, y1, x2, y2, conf)
+DetectorFactory = Callable[[], Callable[[pd.DataFrame], list]]
 
 
 def _unit_rows(m: np.ndarray) -> list:
@@ -67,55 +67,71 @@ def embed(df: DataFrame, key: str, inputs: list[str], make_embedder: EmbedderFac
     return df.select(key, *dict.fromkeys(inputs + carry)).mapInPandas(run, schema)
 
 
-DETECTION_SCHEMA = ("{key} {ktype}, face_ord int, x1 double, y1 double, x2 double, y2 double, conf double, "
-                    "img_w int, img_h int, error string")
+DETECTION_SCHEMA = ("{key} {ktype}, face_ord int, x1 int, y1 int, x2 int, y2 int, conf double, "
+                    "error string, crop binary, crop_h int, crop_w int, n_channels int")
+
+
+def clamp(box: tuple, width: int, height: int) -> tuple[int, int, int, int]:
+    """Whole pixels within the image."""
+    x1, y1, x2, y2 = (int(v) for v in box[:4])
+    return max(0, x1), max(0, y1), min(width, x2), min(height, y2)
 
 
 def detect(df: DataFrame, key: str, inputs: list[str], make_detector: DetectorFactory,
-           conf: float, width: str = "width", height: str = "height",
-           carry: list[str] | None = None) -> DataFrame:
-    """One row per detection at confidence ``>= conf`` (the detector's own
-    threshold), or one row with ``face_ord`` NULL and ``error`` set when the
-    detector failed for the image.  Images without faces yield no row.
-    ``carry`` columns (e.g. the decoded pixels, for cropping) are repeated on
-    each detection row, so the image is not decoded a second time."""
-    carry = list(carry or [])
+           conf: float, batch_size: int = 64, crops: bool = False, data: str = "data", width: str = "width",
+           height: str = "height", channels: str = "n_channels") -> DataFrame:
+    """One row per detection at confidence ``>= conf`` with its box clamped
+    to the image (boxes without area are left out), or one row with
+    ``face_ord`` NULL and ``error`` set when the detector failed for the image.
+    Images without faces yield no row.  The detector sees ``batch_size`` images at a time; a
+    failing batch is retried image by image.  With ``crops`` the pixels inside
+    each box come with its row, cut out in the task that holds the image."""
     ktype = df.schema[key].dataType.simpleString()
-    schema = T.StructType(T._parse_datatype_string(DETECTION_SCHEMA.format(key=key, ktype=ktype)).fields
-                          + [df.schema[c] for c in carry]) if carry else DETECTION_SCHEMA.format(key=key, ktype=ktype)
+    columns = list(dict.fromkeys([key, *inputs, width, height] + ([data, channels] if crops else [])))
+
+    def attempt(fn, chunk: pd.DataFrame) -> list:
+        found = fn(chunk[inputs])
+        if len(found) != len(chunk):
+            raise ValueError(f"the detector returned {len(found)} results for {len(chunk)} images")
+        return list(found)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fn = make_detector()
+        names = [key, "face_ord", "x1", "y1", "x2", "y2", "conf", "error", "crop", "crop_h", "crop_w", "n_channels"]
         for pdf in batches:
             out = []
-            for _, row in pdf.iterrows():
-                extra = tuple(row[c] for c in carry)
+            for s in range(0, len(pdf), batch_size):
+                chunk = pdf.iloc[s:s + batch_size]
                 try:
-                    boxes = [b for b in fn(row[inputs]) if b[4] >= conf]
-                except Exception as e:  # noqa: BLE001
-                    out.append((row[key], None, None, None, None, None, None, row[width], row[height],
-                                f"{type(e).__name__}: {e}") + extra)
-                    continue
-                for i, (x1, y1, x2, y2, c) in enumerate(boxes):
-                    out.append((row[key], i, float(x1), float(y1), float(x2), float(y2), float(c),
-                                row[width], row[height], None) + extra)
-            cols = [key, "face_ord", "x1", "y1", "x2", "y2", "conf", "img_w", "img_h", "error"] + carry
-            yield pd.DataFrame(out, columns=cols)
-    return df.select(key, *dict.fromkeys(inputs + [width, height] + carry)).mapInPandas(run, schema)
-
-
-@F.pandas_udf(T.BinaryType())
-def crop(data: pd.Series, h: pd.Series, w: pd.Series, c: pd.Series, x1: pd.Series, y1: pd.Series,
-         x2: pd.Series, y2: pd.Series) -> pd.Series:
-    """Pixel bytes of a clamped integer box (same layout as the image source)."""
-    out = []
-    for d, hh, ww, cc, a, b, e, f in zip(data, h, w, c, x1, y1, x2, y2):
-        if d is None:
-            out.append(None)
-            continue
-        px = np.frombuffer(bytes(d), dtype=np.uint8).reshape(int(hh), int(ww), int(cc))
-        out.append(px[int(b):int(f), int(a):int(e)].tobytes())
-    return pd.Series(out)
+                    results = attempt(fn, chunk)
+                except Exception:
+                    results = []
+                    for i in range(len(chunk)):
+                        try:
+                            results += attempt(fn, chunk.iloc[i:i + 1])
+                        except Exception as e:  # noqa: BLE001 - per-image isolation is the contract
+                            results.append(f"{type(e).__name__}: {e}")
+                for result, row in zip(results, chunk[columns].to_dict("records")):
+                    if isinstance(result, str):
+                        out.append((row[key], None, None, None, None, None, None, result, None, None, None, None))
+                        continue
+                    w, h = int(row[width]), int(row[height])
+                    for i, box in enumerate(b for b in result if b[4] >= conf):
+                        x1, y1, x2, y2 = clamp(box, w, h)
+                        if x2 <= x1 or y2 <= y1:
+                            continue
+                        cut = n = None
+                        if crops:
+                            n = int(row[channels])
+                            px = np.frombuffer(bytes(row[data]), dtype=np.uint8).reshape(h, w, n)
+                            cut = px[y1:y2, x1:x2].tobytes()
+                        out.append((row[key], i, x1, y1, x2, y2, float(box[4]), None, cut, y2 - y1, x2 - x1, n))
+            frame = pd.DataFrame(out, columns=names)
+            for c in ("face_ord", "x1", "y1", "x2", "y2", "crop_h", "crop_w", "n_channels"):
+                frame[c] = frame[c].astype("Int32")
+            yield frame
+
+    return df.select(*columns).mapInPandas(run, DETECTION_SCHEMA.format(key=key, ktype=ktype))
 
 
 def inference_counters(detections: DataFrame, face_vectors: DataFrame) -> DataFrame:

@@ -27,11 +27,6 @@ def current_images(images: DataFrame, exact: DataFrame | None = None,
     return out.select(*cols[:1], status.alias("status"), *cols[1:])
 
 
-def survivors(images: DataFrame) -> DataFrame:
-    """Rows still ``ok``."""
-    return images.filter(F.col("status") == OK)
-
-
 def effective_path(images: DataFrame, listing: DataFrame) -> DataFrame:
     """Read a file from ``new_path`` when a file exists there (the layout
     was carried out), else from ``path``.  ``listing(path)`` is a file listing."""

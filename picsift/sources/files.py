@@ -51,12 +51,6 @@ def decode_images(spark: SparkSession, root: str) -> DataFrame:
 
 TagReader = Callable[[bytes], dict]
 
-# EXIF sits in the APP1 segment (at most 64 KiB) among the application
-# segments that precede the image data, so the tag reader receives the file
-# head instead of the whole file; the bytes stay in the JVM otherwise.
-TAG_HEAD_BYTES = 256 * 1024
-
-
 def no_tags(_: bytes) -> dict:
     return {}
 
@@ -80,8 +74,9 @@ def tag_map_udf(reader: TagReader):
 def scan_input(spark: SparkSession, root: str, tag_reader: TagReader = no_tags,
                exclude: str | None = None, pixel_stats: bool = False) -> DataFrame:
     """Scan rows ``(path, decode_ok, width, height, tags, sha256)`` for every
-    listed JPEG.  Hash (JVM ``sha2`` over the whole content) and tags are only
-    computed for files that decode (``when`` short-circuits per row)."""
+    listed JPEG.  Hash (JVM ``sha2``) and tags come from the whole content in
+    the task that reads the file; what is joined by path is the hash, the tags
+    and the size, never bytes or pixels."""
     listing = list_files(spark, root, exclude)
     dec = decode_images(spark, root)
     extra = [brightness(F.col("data"), F.col("height"), F.col("width"), F.col("n_channels")).alias("lum")] \
@@ -89,17 +84,18 @@ def scan_input(spark: SparkSession, root: str, tag_reader: TagReader = no_tags,
     decoded = dec.select("path", "decode_ok", "width", "height", *extra)
     content = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                     .option("ignoreCorruptFiles", "true").load(root)
-                    .select(local_path(F.col("path")).alias("path"), "content"))
+                    .select(local_path(F.col("path")).alias("path"), F.lit(True).alias("was_read"),
+                            tag_map_udf(tag_reader)(F.col("content")).alias("all_tags"),
+                            F.sha2(F.col("content"), 256).alias("all_sha256")))
     # a listed file the readers could not open is missing on the right: it
     # is reported (read_error) instead of failing the job
     rows = listing.select("path").join(decoded, "path", "left").join(content, "path", "left")
     readable = F.coalesce(F.col("decode_ok"), F.lit(False))
-    reason = (F.when(F.col("decode_ok").isNull() | F.col("content").isNull(), F.lit("read_error"))
+    reason = (F.when(F.col("decode_ok").isNull() | F.col("was_read").isNull(), F.lit("read_error"))
                .when(~F.col("decode_ok"), F.lit("undecodable")))
     return rows.select(
         "path", readable.alias("decode_ok"), "width", "height", reason.alias("reason"),
-        F.when(readable, tag_map_udf(tag_reader)(F.substring(F.col("content"), 1, TAG_HEAD_BYTES))).alias("tags"),
-        F.when(readable, F.sha2(F.col("content"), 256)).alias("sha256"),
+        F.when(readable, F.col("all_tags")).alias("tags"), F.when(readable, F.col("all_sha256")).alias("sha256"),
         *(["lum"] if pixel_stats else []))
 
 

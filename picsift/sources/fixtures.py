@@ -28,7 +28,8 @@ def _case(key: F.Column, values: dict) -> F.Column:
 def assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per file as the scan sees it: path, decode result, decoded size,
     EXIF tag map, content hash, and the label/cluster values of later phases."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    # hashed before the join: the text itself is never shuffled
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.col("text"), 256).alias("sha256"))
     orders = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), "o_orderdate")
     d = docs.join(orders, "doc_id", "left")
     i = F.col("doc_id")
@@ -54,7 +55,7 @@ def assets(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(40) + (i * 37) % 400).cast("int").alias("width"),
         (F.lit(40) + (i * 53) % 300).cast("int").alias("height"),
         tags.alias("tags"),
-        F.sha2(F.col("text"), 256).alias("sha256"),
+        "sha256",
         F.when(i % 10 == 9, F.lit(None).cast("string"))
          .otherwise(F.element_at(label_names, (i % 13 + 1).cast("int"))).alias("category"),
         F.when(i % 4 == 0, F.lit(-1)).otherwise(F.floor(F.sqrt(i.cast("double")))).cast("int").alias("face_cluster_id"),

@@ -22,26 +22,19 @@ BINARY_SCHEMA = T.StructType([
     T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType())])
 
 
-def _scan_batch(spark: SparkSession, batch: DataFrame, source: str, p: Params, tag_reader) -> DataFrame:
-    # the image reader is pointed at the batch's modification-time window
-    # (two scalars, formatted and read back in the session time zone) and the
-    # result is matched to the batch's paths; no file list goes through the driver
-    fmt = "yyyy-MM-dd'T'HH:mm:ss"
-    lo, hi = batch.agg(
-        F.date_format(F.min("modificationTime") - F.expr("INTERVAL 1 SECOND"), fmt),
-        F.date_format(F.max("modificationTime") + F.expr("INTERVAL 1 SECOND"), fmt)).first()
-    decoded = (spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", "true")
-                    .option("ignoreCorruptFiles", "true")
-                    .option("modifiedAfter", lo).option("modifiedBefore", hi).load(source)
+def _scan_batch(spark: SparkSession, batch: DataFrame, p: Params, tag_reader) -> DataFrame:
+    # the image reader gets the batch's own files, at most ``max_files`` paths
+    paths = [r.path for r in batch.select("path").collect()]
+    decoded = (spark.read.format("image").option("dropInvalid", False).option("ignoreCorruptFiles", "true").load(paths)
                     .select(files.local_path(F.col("image.origin")).alias("path"),
                             (F.col("image.width") >= 0).alias("decode_ok"),
                             F.col("image.width").alias("width"), F.col("image.height").alias("height")))
-    rows = batch.join(decoded, "path", "left")
     ok = F.coalesce(F.col("decode_ok"), F.lit(False))
-    rows = rows.select("path", ok.alias("decode_ok"), "width", "height",
-                       F.when(ok, files.tag_map_udf(tag_reader)(F.substring(F.col("content"), 1, files.TAG_HEAD_BYTES)))
-                       .alias("tags"),
-                       F.when(ok, F.sha2(F.col("content"), 256)).alias("sha256"))
+    read = batch.select("path", files.tag_map_udf(tag_reader)(F.col("content")).alias("all_tags"),
+                        F.sha2(F.col("content"), 256).alias("all_sha256"))
+    rows = read.join(decoded, "path", "left").select(
+        "path", ok.alias("decode_ok"), "width", "height",
+        F.when(ok, F.col("all_tags")).alias("tags"), F.when(ok, F.col("all_sha256")).alias("sha256"))
     return scan_status(rows, p)
 
 
@@ -58,7 +51,7 @@ def incremental_scan(spark: SparkSession, source: str, log_dir: str, checkpoint_
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        out = _scan_batch(batch.sparkSession, batch, source, p, tag_reader).withColumn("batch_id", F.lit(epoch_id))
+        out = _scan_batch(batch.sparkSession, batch, p, tag_reader).withColumn("batch_id", F.lit(epoch_id))
         # a batch replayed after a failure overwrites its own partition: exactly-once output
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id").parquet(log_dir))

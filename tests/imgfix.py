@@ -54,9 +54,9 @@ def toy_embedder():
 
 
 def toy_detector():
-    def fn(row):
-        h, w = int(row["height"]), int(row["width"])
+    def fn(pdf):
         # two overlapping faces, one below the confidence cut, one outside the frame
-        return [(-5.7, 2.2, w * 0.6, h * 0.7, 0.9), (-4.7, 3.2, w * 0.6 + 1, h * 0.7 + 1, 0.85),
-                (1, 1, 5, 5, 0.1), (w + 1, h + 1, w + 9, h + 9, 0.8)]
+        return [[(-5.7, 2.2, w * 0.6, h * 0.7, 0.9), (-4.7, 3.2, w * 0.6 + 1, h * 0.7 + 1, 0.85),
+                 (1, 1, 5, 5, 0.1), (w + 1, h + 1, w + 9, h + 9, 0.8)]
+                for h, w in zip(pdf["height"].astype(int), pdf["width"].astype(int))]
     return fn

@@ -59,11 +59,13 @@ def test_pipeline_end_to_end(spark):
     links = pipeline.read(spark, tables, "links").collect()
     assert any(r.view == "by_camera" and r.key == "unknown_camera" for r in links)
     from picsift.plans import audit
-    audit.register(spark, tables)
-    st = {r.status: r.cnt for r in audit.run(spark, "status_breakdown").collect()}
-    assert st == {"ok": 3, "deleted_exact_dup": 1, "deleted_near_dup": 1, "deleted_tiny": 1, "deleted_corrupt": 1}
-    assert [r.path for r in audit.run(spark, "near_duplicates").collect()] == [os.path.join(d, "near.jpg")]
-    assert audit.run(spark, "SELECT count(*) AS n FROM images WHERE new_path IS NOT NULL").first().n == 3
+    images = audit.register(spark, tables)
+    st = {r.status: r.cnt for r in audit.run(images, "statuses").collect()}
+    assert st == {"TOTAL": 7, "ok": 3, "deleted_exact_dup": 1, "deleted_near_dup": 1, "deleted_tiny": 1, "deleted_corrupt": 1}
+    assert [r.path for r in audit.run(images, "near_duplicates").collect()] == [os.path.join(d, "near.jpg")]
+    assert spark.sql("SELECT count(*) AS n FROM images WHERE new_path IS NOT NULL").first().n == 3
+    counters = pipeline.read(spark, tables, "face_run").first()
+    assert (counters.detector_errors, counters.images_with_faces, counters.embeddings) == (0, 3, 6)
     rg = pipeline.regroup(spark, d, tables, p, apply_links=True).collect()
     assert len(rg) == 3
     views = {r.view for r in pipeline.read(spark, tables, "links").collect()}
@@ -153,3 +155,88 @@ def test_pipeline_limit_runs_first_survivors_only(spark):
     out = pipeline.phase3(spark, d, tables, pipeline.Models(make_image_embedder=toy_embedder), Params(), limit=2)
     fp = sorted(os.path.relpath(r.path, d) for r in out["fingerprints"].collect())
     assert fp == ["a.JPG", "e.jpg"]            # first two survivors by path
+
+
+def _models(spark):
+    labels = spark.createDataFrame([(0, "people portrait", [1.0] * 48), (1, "food", [(-1.0) ** i for i in range(48)])],
+                                   "label_idx int, label string, vec array<double>")
+    return pipeline.Models(make_image_embedder=toy_embedder, label_vectors=labels,
+                           make_face_detector=toy_detector, make_face_embedder=toy_embedder)
+
+
+def test_reruns_lose_nothing(spark):
+    """A re-scan keeps the rows of files that are gone, a limited run leaves
+    the full tables alone, a layout that was carried out stays known."""
+    d = make_tree(tempfile.mkdtemp(prefix="picsift-img-"))
+    tables = tempfile.mkdtemp(prefix="picsift-tables-")
+    out = os.path.join(tempfile.mkdtemp(prefix="picsift-out-"), "out")
+    p = Params(output_root=out, face_min_cluster_size=1)
+    models = _models(spark)
+    pipeline.run(spark, d, tables, models, p)
+    full = {n: pipeline.read(spark, tables, n).count() for n in ("embeddings", "fingerprints", "near_dups", "faces")}
+    pipeline.run(spark, d, tables, models, p, phases=(3,), limit=1)
+    assert {n: pipeline.read(spark, tables, n).count() for n in full} == full
+    assert spark.read.parquet(os.path.join(tables, "trial", "embeddings")).count() == 1
+    before = {r.path: (r.status, r.new_path, r.category) for r in pipeline.current(spark, tables).collect()}
+    # the layout is carried out, rejected files are removed, then everything runs again
+    for path, (status, new_path, _) in before.items():
+        if new_path:
+            os.makedirs(os.path.dirname(new_path), exist_ok=True)
+            os.rename(path, new_path)
+        elif status in ("deleted_tiny", "deleted_corrupt"):
+            os.remove(path)
+    pipeline.run(spark, d, tables, models, p)
+    after = {r.path: (r.status, r.new_path, r.category) for r in pipeline.current(spark, tables).collect()}
+    assert after == before
+    # a new file that wants a taken name gets the next free one
+    with open(os.path.join(d, "e.jpg"), "wb") as f:
+        f.write(png(66, 66, seed=77))
+    with open(os.path.join(d, "new.jpg"), "wb") as f:
+        f.write(png(90, 90, seed=3))
+    os.makedirs(os.path.join(d, "z"))
+    with open(os.path.join(d, "z", "e.jpg"), "wb") as f:
+        f.write(png(95, 95, seed=4))
+    pipeline.run(spark, d, tables, models, p, phases=(1, 2, 5))
+    placed = {os.path.relpath(r.path, d): os.path.basename(r.new_path) for r in pipeline.current(spark, tables).collect() if r.new_path}
+    assert placed["new.jpg"] == "new.jpg" and placed["z/e.jpg"] == "e_3.jpg" and placed["sub/e.jpg"] == "e_2.jpg"
+
+
+def test_faces_are_read_from_where_the_file_is(spark):
+    d = make_tree(tempfile.mkdtemp(prefix="picsift-img-"))
+    tables = tempfile.mkdtemp(prefix="picsift-tables-")
+    out = os.path.join(tempfile.mkdtemp(prefix="picsift-out-"), "out")
+    p, models = Params(output_root=out, face_min_cluster_size=1), _models(spark)
+    pipeline.run(spark, d, tables, models, p, phases=(1, 2, 3, 5))
+    moved = [r for r in pipeline.current(spark, tables).collect() if r.new_path]
+    for r in moved:
+        os.makedirs(os.path.dirname(r.new_path), exist_ok=True)
+        os.rename(r.path, r.new_path)
+    pipeline.run(spark, d, tables, models, p, phases=(4,))
+    assert {r.path for r in pipeline.read(spark, tables, "faces").collect()} == {r.path for r in moved}
+
+
+def test_damaged_table_is_raised_and_empty_ones_are_readable(spark):
+    import pytest
+    tables = tempfile.mkdtemp(prefix="picsift-tables-")
+    assert pipeline.read(spark, tables, "images") is None
+    os.makedirs(os.path.join(tables, "exact_dups"))
+    with open(os.path.join(tables, "exact_dups", "part-0.parquet"), "wb") as f:
+        f.write(b"not parquet")
+    with pytest.raises(Exception):
+        pipeline.read(spark, tables, "exact_dups").count()
+    empty = spark.createDataFrame([], pipeline.SCHEMAS["layout"])
+    pipeline.apply(empty, tables, "layout", ["year", "month"])
+    assert pipeline.read(spark, tables, "layout").count() == 0
+
+
+def test_no_bytes_or_pixels_are_shuffled(spark):
+    import io
+    import re
+    from contextlib import redirect_stdout
+    d = make_tree(tempfile.mkdtemp(prefix="picsift-img-"))
+    out = io.StringIO()
+    with redirect_stdout(out):
+        pipeline.phase1(spark, d).explain("formatted")
+    plan = out.getvalue()
+    moved = [block for block in plan.split("\n\n") if re.match(r"\(\d+\) (Broadcast)?Exchange", block.strip())]
+    assert moved and not any(re.search(r"\b(content|data|image)#", b) for b in moved)

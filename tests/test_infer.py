@@ -1,7 +1,6 @@
 """Model plug-in contracts: per-row error isolation, unit vectors, box rules."""
 
 import numpy as np
-import pandas as pd
 
 from picsift.operators.boxes import clip_boxes
 from picsift.operators.infer import detect, embed, inference_counters
@@ -26,19 +25,22 @@ def test_embed_isolates_failures(spark):
 
 def test_detect_and_clip(spark):
     def make():
-        def fn(row):
-            if row["w"] == 0:
+        def fn(pdf):
+            if (pdf["w"] == 0).any():
                 raise RuntimeError("no image")
-            return [(-3.9, 5.5, 50.2, 500.0, 0.9), (1, 1, 2, 2, 0.2), (10, 10, 10.5, 20, 0.5)]
+            return [[(-3.9, 5.5, 50.2, 500.0, 0.9), (1, 1, 2, 2, 0.2), (10, 10, 10.5, 20, 0.5)] for _ in range(len(pdf))]
         return fn
+    boxes = (-3.9, 5.5, 50.2, 500.0, 0.9), (1.0, 1.0, 2.0, 2.0, 0.2), (10.0, 10.0, 10.5, 20.0, 0.5)
     df = spark.createDataFrame([(1, 100, 80), (2, 0, 0)], "img long, w int, h int")
-    det = detect(df, "img", ["w"], make, 0.25, width="w", height="h")
+    det = detect(df, "img", ["w"], make, 0.25, width="w", height="h")     # the failing pair is retried one by one
     rows = det.collect()
     assert sum(r.error is not None for r in rows) == 1
-    ok = det.filter("face_ord is not null").withColumnRenamed("img", "face_id")
-    got = sorted(tuple(r) for r in clip_boxes(ok).collect())
+    got = sorted((r.img, r.x1, r.y1, r.x2, r.y2) for r in rows if r.face_ord is not None)
     # (-3.9 -> -3 -> 0), y2 clamped to 80; the 10..10.5 box truncates to empty and is dropped
     assert got == [(1, 0, 5, 50, 80)]
+    given = spark.createDataFrame([(1, *b, 100, 80) for b in boxes], "face_id long, x1 double, y1 double, x2 double, y2 double, "
+                                  "conf double, img_w int, img_h int")
+    assert sorted(tuple(r) for r in clip_boxes(given).collect()) == got      # the column form of the same rule
     fv = embed(spark.createDataFrame([(1, 1.0), (2, -1.0)], "k long, x double"), "k", ["x"], flaky_embedder)
     c = inference_counters(det, fv).collect()[0]
     assert (c.detector_errors, c.images_with_faces, c.embed_errors, c.embeddings) == (1, 1, 1, 1)

@@ -1,11 +1,12 @@
 """Keeper rules, layout numbering, upsert, ranking and the driver contract."""
 
+import os
 import random
 
 from pyspark.sql import functions as F
 
 from picsift.operators.exact import exact_duplicates
-from picsift.operators.layout import _replay, place_files, view_links
+from picsift.operators.layout import place_files, view_links
 from picsift.operators.near import near_duplicates
 from picsift.operators.ranking import global_index, rank_within
 from picsift.operators.upsert import upsert
@@ -33,18 +34,19 @@ def test_near_keeper_null_date_first(spark):
     assert got == {1: 2, 2: 2, 3: 2}
 
 
-def _seq(names, existing=()):
-    import pandas as pd
-    pdf = pd.DataFrame({"path": [f"/src/{i:05d}" for i in range(len(names))] + list(existing),
-                        "_name": list(names) + list(existing),
-                        "_existing": [False] * len(names) + [True] * len(existing)})
-    return list(_replay(pdf)["final_name"])
-
-
-def test_replay_chains():
-    assert _seq(["a.jpg", "a.jpg", "a_2.jpg"]) == ["a.jpg", "a_2.jpg", "a_2_2.jpg"]
-    assert _seq(["a.JPG", "a.jpg"]) == ["a.JPG", "a.jpg"]
-    assert _seq(["a.jpg"], existing=["a.jpg"]) == ["a_2.jpg"]
+def _check_names(wanted, got, existing=()):
+    """Every file has the first name that was free when its turn came."""
+    taken = set(existing)
+    for want, name in zip(wanted, got, strict=True):
+        assert name not in taken
+        if want in taken:
+            stem, suffix = os.path.splitext(want)
+            assert name.startswith(f"{stem}_") and name.endswith(suffix)
+            number = int(name[len(stem) + 1:len(name) - len(suffix)])
+            assert number >= 2 and taken.issuperset(f"{stem}_{k}{suffix}" for k in range(2, number))
+        else:
+            assert name == want
+        taken.add(name)
 
 
 def _layout(spark, names, existing=None):
@@ -58,12 +60,15 @@ def _layout(spark, names, existing=None):
 
 def test_layout_numbering_matches_sequential(spark):
     assert _layout(spark, ["a.jpg", "a.jpg", "a_2.jpg", "b.jpg"]) == ["a.jpg", "a_2.jpg", "a_2_2.jpg", "b.jpg"]
+    assert _layout(spark, ["a.JPG", "a.jpg"]) == ["a.JPG", "a.jpg"]
     assert _layout(spark, ["a.jpg", "a.jpg"], existing=["out/by_date/2018/06/a.jpg"]) == ["a_2.jpg", "a_3.jpg"]
+    long = "a_99999999999999999999.jpg"           # no copy number: it interferes with nothing
+    assert _layout(spark, ["a.jpg", "a.jpg", "a_2.jpg", long, long]) == ["a.jpg", "a_2.jpg", "a_2_2.jpg", long, "a_99999999999999999999_2.jpg"]
     rnd = random.Random(9)
     pool = ["a.jpg", "a_2.jpg", "a_3.jpg", "a_2_2.jpg", "b.jpg", "b_2.jpg", "c.JPG", "c.jpg", "d"]
     for _ in range(3):
         names = [rnd.choice(pool) for _ in range(40)]
-        assert _layout(spark, names) == _seq(names)
+        _check_names(names, _layout(spark, names))
 
 
 def test_view_links_first_wins(spark):
@@ -123,13 +128,13 @@ def test_layout_numbering_adversarial(spark):
         names = [rnd.choice(pool) for _ in range(60)]
         existing = rnd.sample(["a.jpg", "a_2.jpg", "a_5.jpg", "a_2_2.jpg", "b_3.jpg"], trial)
         ex_paths = [f"out/by_date/2018/06/{e}" for e in existing]
-        assert _layout(spark, names, existing=ex_paths if existing else None) == _seq(names, existing)
+        _check_names(names, _layout(spark, names, existing=ex_paths if existing else None), existing)
 
 
 def test_layout_hot_name_with_interferers(spark):
     names = ["a.jpg"] * 400 + ["a_5.jpg", "a_150.jpg", "a_2.jpg", "a_399.jpg"]
     random.Random(2).shuffle(names)
-    assert _layout(spark, names) == _seq(names)
+    _check_names(names, _layout(spark, names))
 
 
 def test_layout_numbering_at_sf01_matches_window(spark):

@@ -35,8 +35,8 @@ from .common import fresh, portions, read, stored
 
 #: Least tokens of a match, least share of an item's tokens that marks a document.
 MATCH, COVERAGE = 5, 0.5
-#: Bits of the seed bitmap for each seed, and at most (16 MB).
-BITS_PER_SEED, MAX_BITS = 32, 1 << 27
+#: Bits of the seed bitmap for each seed, and at most (32 MB); bits that a seed sets.
+BITS_PER_SEED, MAX_BITS, PROBES = 64, 1 << 28, 4
 
 _TOKEN = re.compile("[0-9a-z\u0080-\u009f¡-῿⁰-⿿、-\U0010ffff]+")
 _BASE = np.uint64(0x100000001B3)
@@ -119,6 +119,13 @@ def tiles(item: list[str], doc: list[str], match: int = MATCH) -> list[tuple[int
     return out
 
 
+def _bits(hashes: np.ndarray, probe: int, shift: int) -> tuple[np.ndarray, np.ndarray]:
+    """(word, place in it) of the ``probe``-th bit of each hash."""
+    mixed = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15 + 2 * probe * 0x632BE59BD9B4E019 & (1 << 64) - 1)
+    bit = mixed >> np.uint64(shift)
+    return (bit >> np.uint64(6)).astype(np.int64), bit & np.uint64(63)
+
+
 def _seeds(bench: DataFrame, match: int) -> DataFrame:
     """(item_row, seed, size): the different window hashes of each item."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,9 +160,10 @@ def _candidates(docs: DataFrame, doc_id: str, bitmap, sizes: list[int]) -> DataF
                     found = []
                     for size in sizes:
                         hashes = windows(values, size)
-                        bit = (hashes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(shift)
-                        hit = words_of[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1)
-                        found.append(hashes[hit.astype(bool)])
+                        for probe in range(PROBES):
+                            word, place = _bits(hashes, probe, shift)
+                            hashes = hashes[(words_of[word] >> place & np.uint64(1)).astype(bool)]
+                        found.append(hashes)
                     found = np.unique(np.concatenate(found))
                     if len(found):
                         at.append(i)
@@ -179,8 +187,9 @@ def _bitmap(seeds: DataFrame):
         part = np.zeros(bits >> 6, dtype=np.uint64)
         for batch in batches:
             hashes = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            bit = (hashes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(shift)
-            np.bitwise_or.at(part, (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+            for probe in range(PROBES):
+                word, place = _bits(hashes, probe, shift)
+                np.bitwise_or.at(part, word, np.uint64(1) << place)
         at = np.flatnonzero(part)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(part[at].view(np.int64), pa.int64())],
                                          names=["word", "value"])

@@ -64,6 +64,8 @@ class Params:
     # boolean adjacency and a 512-row slice of the float product; all-pairs
     # jobs shuffle n^2 / block_rows row copies, so larger is cheaper overall.
     block_rows: int = 8192
+    # bands of the fingerprint join (hamming.py); None: phash_threshold + 3
+    hash_bands: int | None = None
     # opt-in pixel check: near-black or flat frames count as corrupt
     check_brightness: bool = False
     min_brightness: float = 10.0

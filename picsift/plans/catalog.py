@@ -83,7 +83,7 @@ def q_near_dups(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_near_dup_stats(spark: SparkSession, sf: str) -> DataFrame:
-    v = stages.vectors(spark, sf)
+    v = cut_lineage(stages.vectors(spark, sf))
     cand = cut_lineage(hamming.candidate_groups(v, "asset_id", "phash", 8))
     return near_ops.near_dup_stats(cand, near_ops.near_duplicates(v, "asset_id", cand=cand))
 
@@ -113,7 +113,7 @@ def q_dbscan_labels(spark: SparkSession, sf: str) -> DataFrame:
 def q_dbscan_min3_labels(spark: SparkSession, sf: str) -> DataFrame:
     """G6 with min_samples = 3: core points, border points, noise."""
     from ..operators.dbscan import dbscan
-    f = stages.faces(spark, sf)
+    f = cut_lineage(stages.faces(spark, sf))
     return dbscan(f, "face_id", "vec", ["img", "face_ord"], 0.4, 3)
 
 
@@ -138,7 +138,7 @@ def q_view_membership(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_layout_stats(spark: SparkSession, sf: str) -> DataFrame:
-    placed = stages.placed(spark, sf)
+    placed = cut_lineage(stages.placed(spark, sf))
     return layout.layout_stats(stages.current(spark, sf), placed, layout.view_links(placed))
 
 
@@ -169,7 +169,7 @@ def q_cluster_sizes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_regroup_stats(spark: SparkSession, sf: str) -> DataFrame:
-    cur, placed = stages.current(spark, sf), stages.placed(spark, sf)
+    cur, placed = cut_lineage(stages.current(spark, sf)), cut_lineage(stages.placed(spark, sf))
     return people.regroup_stats(people.regroup(cur, placed), cur, placed)
 
 
@@ -178,6 +178,45 @@ def q_first_survivors(spark: SparkSession, sf: str) -> DataFrame:
     return stages.current(spark, sf).filter(F.col("status") == OK).select("path").orderBy("path").limit(100)
 
 
+def q_pipeline_status(spark: SparkSession, sf: str) -> DataFrame:
+    """Statuses after scan, exact and near duplicates, one after the other."""
+    return reports.status_summary(stages.chained(spark, sf))
+
+
+def q_rescan_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """A later scan finds four files in five, one in eleven of them corrupt
+    by now, and some new ones; rows of files that are gone stay."""
+    from ..sources.fixtures import assets
+    cols = ["path", "status", "width", "height", "date_taken", "sha256"]
+    base = cut_lineage(scan.scan_status(assets(spark, sf), keep=("doc_id",)))
+    corrupt = F.when(F.col("doc_id") % 11 == 0, F.lit("deleted_corrupt")).otherwise(F.col("status"))
+    found = base.filter(F.col("doc_id") % 5 != 0).withColumn("status", corrupt)
+    later = base.filter((F.col("doc_id") % 9 == 0) & (F.col("status") == OK)).withColumn("path", F.regexp_replace("path", "^/recovered/", "/later/"))
+    updates = found.unionByName(later).select(*cols, upsert_ops.scan_provided(F.col("status")).alias("provided"))
+    return upsert_ops.upsert(base.select(*cols), updates)
+
+
+def q_layout_rerun(spark: SparkSession, sf: str) -> DataFrame:
+    """Placing with names already taken and some files gone."""
+    return stages.rerun_layout(spark, sf)[1].select("path", "new_path")
+
+
+def q_layout_rerun_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """A12 with skipped files."""
+    cur, placed = stages.rerun_layout(spark, sf)
+    return layout.layout_stats(cur, placed, layout.view_links(placed).limit(0))
+
+
+def q_layout_chains(spark: SparkSession, sf: str) -> DataFrame:
+    """W5, exact path: all survivors in one folder under names that interfere
+    with each other's copy numbers (``a``, ``a_2``, ``a_2_2``, ``a_3``, ...)."""
+    cur = stages.current(spark, sf)
+    name = F.concat(F.element_at(F.array(*map(F.lit, ("a", "a", "a", "a_2", "a_3", "a_2_2", "a_5", "b", "b_2", "a_99999999999999999999"))),
+                                 (F.pmod(F.crc32("path"), F.lit(10)) + 1).cast("int")), F.lit(".jpg"))
+    moved = cur.withColumn("path", F.concat(F.col("path"), F.lit("/"), name)).withColumn("date_taken", F.lit("2018-06-01T00:00:00"))
+    return layout.place_files(cut_lineage(moved)).select("path", "new_path")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_status": q_scan_status,
     "exif_normalize": q_exif_normalize,
@@ -210,4 +249,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cluster_sizes": q_cluster_sizes,
     "regroup_stats": q_regroup_stats,
     "first_survivors": q_first_survivors,
+    "pipeline_status": q_pipeline_status,
+    "rescan_merge": q_rescan_merge,
+    "layout_rerun": q_layout_rerun,
+    "layout_rerun_stats": q_layout_rerun_stats,
+    "layout_chains": q_layout_chains,
 }

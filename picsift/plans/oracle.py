@@ -83,9 +83,10 @@ vec_raw AS (
 ),
 vec_n AS (
   SELECT *, sqrt(list_sum(list_transform(raw, lambda y: y * y))) AS nrm,
-         CAST(list_sum(list_transform(range(56), lambda k:
+         CASE WHEN vec_id % 44 <> 8 THEN CAST(list_sum(list_transform(range(56), lambda k:
              CASE WHEN raw[(k // 7) * 8 + k % 7 + 2] > raw[(k // 7) * 8 + k % 7 + 1]
-                  THEN CAST(1 AS BIGINT) << (55 - k) ELSE CAST(0 AS BIGINT) END)) AS BIGINT) AS phash
+                  THEN CAST(1 AS BIGINT) << (55 - k) ELSE CAST(0 AS BIGINT) END)) AS BIGINT)
+             + (vec_id % 256 - CASE WHEN vec_id % 256 >= 128 THEN 256 ELSE 0 END) * 72057594037927936 END AS phash
   FROM vec_raw
 ),
 vectors AS (
@@ -100,7 +101,7 @@ hedge AS (
     ON a.asset_id <> b.asset_id AND bit_count(xor(a.phash, b.phash)) <= 8
 ),
 reach(x, y) AS (
-  SELECT asset_id, asset_id FROM vectors
+  SELECT asset_id, asset_id FROM vectors WHERE phash IS NOT NULL
   UNION
   SELECT r.x, e.y FROM reach r JOIN hedge e ON e.x = r.y
 ),
@@ -131,6 +132,18 @@ near AS (
 )"""
 
 
+# the survivors of phases 1-2 as input of phase 3: four files share a base vector
+CHAIN = VECTORS[:VECTORS.index("vectors AS (")] + r"""vectors AS (
+  SELECT v.asset_id, list_transform(v.raw, lambda x: x / nrm) AS vec, v.phash, c.path, c.width, c.height, c.date_taken
+  FROM vec_n v JOIN cur c ON v.asset_id = (c.doc_id // 4) * 40 + c.doc_id % 4
+  WHERE c.status = 'ok'
+),
+""" + VECTORS[VECTORS.index("hedge AS ("):] + r""",
+chained AS (
+  SELECT c.path, CASE WHEN n.path IS NOT NULL THEN 'deleted_near_dup' ELSE c.status END AS status
+  FROM cur c LEFT JOIN (SELECT v.path FROM near k JOIN vectors v ON v.asset_id = k.asset_id WHERE NOT k.is_keeper) n ON n.path = c.path
+)"""
+
 EMB = r"""
 emb AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings),
 lab_elems AS (
@@ -366,6 +379,27 @@ ORACLE: dict[str, str] = {
           b.category AS category,
           CAST(CASE WHEN b.path IS NOT NULL THEN b.face_cluster_id ELSE -1 END AS INTEGER) AS face_cluster_id
         FROM cur b FULL OUTER JOIN upd u ON u.path = b.path"""),
+    "pipeline_status": _with(ASSETS, CHAIN, body="""
+        SELECT status, count(*) AS cnt FROM chained GROUP BY status
+        UNION ALL SELECT 'TOTAL' AS status, count(*) AS cnt FROM chained"""),
+    "rescan_merge": _with(ASSETS, body="""
+        SELECT path,
+               CASE WHEN doc_id % 5 <> 0 AND doc_id % 11 = 0 THEN 'deleted_corrupt' ELSE status END AS status,
+               width, height, date_taken, sha256 FROM scan
+        UNION ALL
+        SELECT regexp_replace(path, '^/recovered/', '/later/'), status, width, height, date_taken, sha256
+        FROM scan WHERE doc_id % 9 = 0 AND status = 'ok'"""),
+    "layout_rerun": _with(ASSETS, LAYOUT, body=r"""
+        , here AS (SELECT * FROM lay1 WHERE doc_id % 7 <> 3),
+        numbered AS (
+          SELECT *, row_number() OVER (PARTITION BY dst_dir, name ORDER BY path)
+                    + CASE WHEN name LIKE 'IMG_0001.%' THEN 1 ELSE 0 END AS k FROM here)
+        SELECT path, dst_dir || '/' || CASE WHEN k = 1 THEN name
+               ELSE regexp_replace(name, '\.[^.]+$', '') || '_' || CAST(k AS VARCHAR) || regexp_extract(name, '^.+(\.[^.]+)$', 1) END AS new_path
+        FROM numbered"""),
+    "layout_rerun_stats": _with(ASSETS, LAYOUT, body="""
+        SELECT (SELECT count(*) FROM lay1 WHERE doc_id % 7 <> 3) AS moved, (SELECT count(*) FROM lay1 WHERE doc_id % 7 = 3) AS skipped,
+               CAST(0 AS BIGINT) AS links"""),
     "unscanned": _with(ASSETS, body="""
         SELECT path FROM cur WHERE status = 'ok'
           AND path NOT IN (SELECT path FROM cur WHERE status = 'ok' AND date_taken < '1998')"""),

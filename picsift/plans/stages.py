@@ -6,12 +6,12 @@ updated in place, so any stage can be recomputed or previewed on its own.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.exact import exact_duplicates
 from ..operators.scan import scan_status
 from ..operators.status import current_images
-from ..params import DEFAULT, Params
+from ..params import DEFAULT, OK, Params
 from ..session import cut_lineage
 from ..sources import fixtures
 
@@ -28,27 +28,26 @@ def exact(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
 def current(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
     """Images with statuses after phases 1-2."""
     img = images(spark, sf_dir, p)
-    # a stage table: materialised once, read by every later stage
-    return cut_lineage(current_images(img, exact=exact_duplicates(img)))
+    return current_images(img, exact=exact_duplicates(img))
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cut_lineage(fixtures.vectors_table(spark, sf_dir))
+    return fixtures.vectors_table(spark, sf_dir)
 
 
 def near(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
     from ..operators.near import near_duplicates
-    return near_duplicates(vectors(spark, sf_dir), "asset_id", p)
+    return near_duplicates(cut_lineage(vectors(spark, sf_dir)), "asset_id", p)
 
 
 def faces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cut_lineage(fixtures.faces(spark, sf_dir))
+    return fixtures.faces(spark, sf_dir)
 
 
 def face_labels(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
     """DBSCAN over all face vectors: ``(face_id, img, face_ord, cluster)``."""
     from ..operators.dbscan import dbscan
-    f = faces(spark, sf_dir)
+    f = cut_lineage(faces(spark, sf_dir))      # read by the clustering and by the join below
     lab = dbscan(f, "face_id", "vec", ["img", "face_ord"], p.dbscan_eps, p.dbscan_min_samples, p.block_rows)
     return f.select("face_id", "img", "face_ord").join(lab, "face_id")
 
@@ -56,4 +55,32 @@ def face_labels(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFr
 def placed(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
     """Phase 5 layout of the survivors of phases 1-2."""
     from ..operators.layout import place_files
-    return place_files(current(spark, sf_dir, p), p)
+    return place_files(cut_lineage(current(spark, sf_dir, p)), p)
+
+
+def chained(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
+    """Images after phases 1-3, each phase working on what the one before kept:
+    file ``doc_id`` has the fixture vector of asset ``doc_id // 4 * 40 + doc_id % 4``."""
+    from ..operators.near import near_duplicates
+    img = scan_status(fixtures.assets(spark, sf_dir), p, keep=("doc_id",))
+    cur = cut_lineage(current_images(img, exact=exact_duplicates(img)))
+    asset = (F.floor(F.col("doc_id") / 4) * 40 + F.col("doc_id") % 4).alias("asset_id")
+    vecs = fixtures.vectors_table(spark, sf_dir).select("asset_id", "vec", "phash")
+    ok = cur.filter(F.col("status") == OK).select("path", "width", "height", "date_taken", asset)
+    rows = cut_lineage(ok.join(vecs, "asset_id"))
+    near = near_duplicates(rows, "asset_id", p).join(rows.select("asset_id", "path"), "asset_id")
+    return current_images(cur, near=near)
+
+
+def rerun_layout(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> tuple[DataFrame, DataFrame]:
+    """(images, placed): a layout run in which one file in seven is gone and every
+    folder already holds an ``IMG_0001``."""
+    from ..functions import paths as P
+    from ..operators.layout import place_files
+    img = scan_status(fixtures.assets(spark, sf_dir), p, keep=("category", "face_cluster_id", "doc_id"))
+    cur = cut_lineage(current_images(img, exact=exact_duplicates(img)))
+    here = cur.filter(F.col("doc_id") % 7 != 3).select("path")
+    tree = F.concat_ws("/", F.lit(p.output_root), F.lit("by_date"), P.date_dir(F.col("date_taken")), P.basename(F.col("path")))
+    taken = (cur.filter((F.col("status") == OK) & P.basename(F.col("path")).startswith("IMG_0001."))
+                .select(tree.alias("path")).distinct())
+    return cur, place_files(cur, p, listing=here, existing=taken)

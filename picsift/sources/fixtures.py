@@ -67,7 +67,7 @@ _AMP = {0: 0.0, 1: 0.01, 2: 0.012, 3: 0.03}
 
 def vectors_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate input: every embedding plus perturbed copies 1-3 for
-    ``vec_id % 4 = 0``; unit vector, 56-bit gradient fingerprint, and the
+    ``vec_id % 4 = 0``; unit vector, 64-bit fingerprint (56 gradient bits), and the
     size/date fields the keeper rule reads."""
     e = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     v = F.col("vec_id")
@@ -84,7 +84,10 @@ def vectors_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (e.join(orders, "asset_id", "left")
              .select(a, v, c.alias("copy"), "label",
                      vectors.l2_normalize(F.col("raw")).alias("vec"),
-                     bits.dhash(F.col("raw"), 8, 8).alias("phash"),
+                     # 56 gradient bits below the low byte of vec_id (signed: the top bit may
+                     # be set); no fingerprint for one in 44
+                     F.when(v % 44 != 8, bits.dhash(F.col("raw"), 8, 8)
+                            + (v % 256 - F.when(v % 256 >= 128, F.lit(256)).otherwise(F.lit(0))) * F.lit(1 << 56)).alias("phash"),
                      (F.lit(40) + (a * 37) % 400).cast("int").alias("width"),
                      (F.lit(40) + (a * 53) % 300).cast("int").alias("height"),
                      F.when(a % 6 != 0, F.date_format("o_orderdate", ISO)).alias("date_taken")))

@@ -155,3 +155,10 @@ def test_layout_numbering_at_sf01_matches_window(spark):
     got = placed.select("path", "new_path")
     assert got.count() == want.count() == 8631
     assert got.exceptAll(want).count() == 0
+
+
+def test_layout_chains_query_gives_the_first_free_names(spark):
+    from picsift.plans.catalog import QUERIES
+    rows = sorted(tuple(r) for r in QUERIES["layout_chains"](spark, "/root/testdata/sf0.001").collect())
+    assert len({n for _, n in rows}) == len(rows) > 100
+    _check_names([p.rsplit("/", 1)[1] for p, _ in rows], [n.rsplit("/", 1)[1] for _, n in rows])

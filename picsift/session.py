@@ -3,6 +3,7 @@ shared checkpoint folder used to cut lineage in iterative jobs."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,7 +47,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
-    elif sc.master.startswith("local"):
+    elif re.fullmatch(r"local(\[.*\])?", sc.master):      # one JVM; not local-cluster
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="picsift-ckpt-"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")

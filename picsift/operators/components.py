@@ -2,11 +2,12 @@
 
 Alternating large-star / small-star rounds (Kiveris et al., "Connected
 Components in MapReduce and Beyond", 2014).  Every step is a grouped ``min``,
-which is combined map-side, and an equi-join on the node id.  The minima are
-stored before the join, so that both its sides are plain shuffles and AQE
-splits the edges of a hub node; no component is ever gathered into one task.
-Each step is written to the shared checkpoint folder, which bounds the lineage
-and makes a lost executor cost one step.
+which is combined map-side, and an equi-join on the node id; no component is
+ever gathered into one task.  Where a node has more than ``HUB`` edges, which
+the convergence test finds out on the way, the minima are stored before the
+join: both its sides are plain shuffles then and AQE splits the hub's edges.
+Each round is written to the shared checkpoint folder, which bounds the lineage
+and makes a lost executor cost one round.
 """
 
 from __future__ import annotations
@@ -16,30 +17,37 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import cut_lineage
 
 
-def _large_star(e: DataFrame) -> DataFrame:
+#: Edges of one node from which its joins are prepared for splitting.
+HUB = 100_000
+
+
+def _large_star(e: DataFrame, hub: bool = False) -> DataFrame:
     both = (e.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
              .unionByName(e.select(F.col("hi").alias("u"), F.col("lo").alias("v"))))
-    m = cut_lineage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+    m = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    m = cut_lineage(m) if hub else m
     return (both.filter(F.col("v") > F.col("u")).join(m, "u")
                 .select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct())
 
 
-def _small_star(e: DataFrame) -> DataFrame:
-    m = cut_lineage(e.groupBy("hi").agg(F.min("lo").alias("m")))
+def _small_star(e: DataFrame, hub: bool = False) -> DataFrame:
+    m = e.groupBy("hi").agg(F.min("lo").alias("m"))
+    m = cut_lineage(m) if hub else m
     moved = (e.join(m, "hi").filter(F.col("lo") != F.col("m"))
               .select(F.col("lo").alias("hi"), F.col("m").alias("lo")))
     own = m.select("hi", F.col("m").alias("lo"))
     return moved.unionByName(own).distinct()
 
 
-def _is_star_forest(e: DataFrame) -> bool:
-    """True when every node has one parent and every parent is a root
-    (one shuffle, one job)."""
+def _state(e: DataFrame) -> tuple[bool, bool]:
+    """Whether every node has one parent and every parent is a root, and
+    whether a node has more than ``HUB`` edges (one shuffle, one job)."""
     u = (e.select(F.col("hi").alias("n"), F.lit(1).alias("out"), F.lit(0).alias("par"))
           .unionByName(e.select(F.col("lo").alias("n"), F.lit(0).alias("out"), F.lit(1).alias("par"))))
-    bad = (u.groupBy("n").agg(F.sum("out").alias("out"), F.max("par").alias("par"))
-            .filter((F.col("out") > 1) | ((F.col("out") >= 1) & (F.col("par") == 1))))
-    return bad.limit(1).count() == 0
+    nodes = u.groupBy("n").agg(F.sum("out").alias("out"), F.max("par").alias("par"), F.count(F.lit(1)).alias("edges"))
+    bad = (F.col("out") > 1) | ((F.col("out") >= 1) & (F.col("par") == 1))
+    r = nodes.agg(F.count_if(bad).alias("bad"), F.max("edges").alias("most")).first()
+    return r.bad == 0, (r.most or 0) > HUB
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
@@ -52,10 +60,14 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     # star edges from the block jobs often need no round at all; an empty
     # edge set is a star forest too
     rounds = 0
-    while not _is_star_forest(e):
+    while True:
+        done, hub = _state(e)
+        if done:
+            break
         if rounds == max_rounds:
             raise RuntimeError("connected components did not converge")
-        e = cut_lineage(_small_star(cut_lineage(_large_star(e))))
+        large = _large_star(e, hub)
+        e = cut_lineage(_small_star(cut_lineage(large) if hub else large, hub))
         rounds += 1
     roots = e.select(F.col("lo").alias("node")).distinct().withColumn("root", F.col("node"))
     return e.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(roots)

@@ -46,7 +46,7 @@ def test_hub_node(spark):
     with settings(spark):
         edges = spark.range(N).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.floor(F.col("id") / 5)).cast("long").alias("lo"),
                                       (F.col("id") + N).alias("hi"))
-        step = components._large_star(edges.checkpoint())
+        step = components._large_star(edges.checkpoint(), hub=True)
         assert "SortMergeJoin(skew=true)" in final_plan(step)
 
 

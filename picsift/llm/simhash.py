@@ -157,7 +157,9 @@ def components(prints: DataFrame, max_bits: int = MAX_BITS, doc_id: str = "doc_i
                hot: int = HOT, block: int = BLOCK) -> DataFrame:
     """(fp, root, component_id) for each different fingerprint of (doc_id, fp)
     rows; root is the smallest fingerprint of the component."""
-    reps = stored(prints.groupBy("fp").agg(F.min(doc_id).alias("first_id")))
+    # few bytes a row, but 66 table rows each: kept over all partitions, where AQE would take a handful
+    spread = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    reps = stored(prints.groupBy("fp").agg(F.min(doc_id).alias("first_id")).repartition(spread, "fp"))
     roots = connected_components(links(reps, max_bits, hot, block)).withColumnRenamed("node", "fp")
     linked = stored(reps.join(roots, "fp"))
     least = stored(linked.groupBy("root").agg(F.min("first_id").alias("linked_id")))

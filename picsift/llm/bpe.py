@@ -23,7 +23,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from .bpe_fst import WHITE, Codec, Utf8Decoder, Vocabulary, stream
+from .bpe_fst import WHITE, Codec, Decimals, Utf8Decoder, Vocabulary, stream
 from .common import read, with_text_function
 
 #: Largest rank file that is broadcast, in bytes.
@@ -120,14 +120,14 @@ def digests(df: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
 
     def make() -> Callable:
         codec = _codec(data.value, pattern)
-        decoder = Utf8Decoder(codec.vocab)
+        decoder, decimals = Utf8Decoder(codec.vocab), Decimals(codec.vocab)
 
         def run(texts: list) -> list[list]:
             n, written, back = [], [], []
             for x in encode_texts(codec, texts):
                 ids = x.tolist()
                 n.append(len(ids))
-                written.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+                written.append(decimals.digest(ids))
                 h = hashlib.sha256()
                 for t in stream(decoder, ids, 1 << 16):
                     h.update(t.encode())

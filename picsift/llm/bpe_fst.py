@@ -100,7 +100,7 @@ class Transducer:
     numbers of token tuples, number 0 being the empty one.
     """
 
-    def __init__(self, vocab: Vocabulary, max_states: int = 300_000):
+    def __init__(self, vocab: Vocabulary, max_states: int = 600_000):
         self.vocab, self.max_states = vocab, max_states
         self._reset()
 
@@ -449,8 +449,14 @@ class Utf8Decoder:
         return "�" if left else ""
 
 
-def ids_digest(ids: Iterable[int]) -> str:
-    return hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+class Decimals:
+    """Ids written as decimals joined by one space, from a table of each id's text."""
+
+    def __init__(self, vocab: Vocabulary):
+        self.of = {i: b"%d " % i for i in vocab.bytes_of}
+
+    def digest(self, ids: list[int]) -> str:
+        return hashlib.sha256(b"".join(map(self.of.__getitem__, ids))[:-1]).hexdigest()
 
 
 def stream(decoder: Utf8Decoder, ids: list[int], block: int = 4096) -> Iterator[str]:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import fresh, read, with_text_function
-from .textvec import Counts, Sample, cuts, gather, share, weighted
+from .textvec import Counts, Sample, cuts, gather, share, weighted, words_of
 
 #: Labelled texts the model is fitted on, at most.
 MAX_SAMPLE = 6000
@@ -60,9 +60,6 @@ def _classes() -> np.ndarray:
 
 
 _CLASS = _classes()
-_FOLD = np.array([b + 33 if 65 <= b <= 90 else b + 1 for b in range(256)], dtype=np.uint64)
-_POWERS = np.cumprod(np.full(64, 0x100000001B3, dtype=np.uint64))
-
 
 def _bucket(values: np.ndarray, size: int) -> np.ndarray:
     return ((values * _MIX) >> np.uint64(65 - size.bit_length())).astype(np.int64)
@@ -78,14 +75,8 @@ def features(text: str) -> Counts:
         if len(data) >= 3:
             k = _CLASS[data]
             style += np.bincount(_bucket((k[:-2] << 12 | k[1:-1] << 6 | k[2:]).astype(np.uint64), _STYLE), minlength=_STYLE)
-        solid = (data != 32) & ((data < 9) | (data > 13))
-        edge = np.diff(np.concatenate([[False], solid, [False]]).astype(np.int8))
-        start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        if len(start):
-            size = end - start
-            first = np.cumsum(size) - size
-            place = np.arange(int(size.sum())) - np.repeat(first, size)
-            word = np.add.reduceat(_FOLD[data[solid]] * _POWERS[place & 63], first)
+        word, _ = words_of(data)
+        if len(word):
             words += np.bincount(_bucket(word, _WORDS), minlength=_WORDS)
             repeats += int((word[1:] == word[:-1]).sum()) + (word[0] == last)
             last = word[-1]

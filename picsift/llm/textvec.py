@@ -114,6 +114,24 @@ def weighted(counts: Counts, idf: np.ndarray) -> Counts:
     return idx, v / n if n else v
 
 
+_FOLD = np.array([b + 33 if 65 <= b <= 90 else b + 1 for b in range(256)], dtype=np.uint64)
+_POWERS = np.cumprod(np.full(64, 0x100000001B3, dtype=np.uint64))
+
+
+def words_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit value, first byte) of each word: ASCII letters folded, words
+    apart by ASCII white space."""
+    solid = (data != 32) & ((data < 9) | (data > 13))
+    edge = np.diff(np.concatenate([[False], solid, [False]]).astype(np.int8))
+    start = np.flatnonzero(edge == 1)
+    if not len(start):
+        return np.zeros(0, dtype=np.uint64), start
+    size = np.flatnonzero(edge == -1) - start
+    first = np.cumsum(size) - size
+    place = np.arange(int(size.sum())) - np.repeat(first, size)
+    return np.add.reduceat(_FOLD[data[solid]] * _POWERS[place & 63], first), start
+
+
 def cuts(data: bytes, size: int = CUT) -> Iterator[bytes]:
     """Portions of about ``size`` bytes, cut at ASCII white space where there is some near."""
     start = 0

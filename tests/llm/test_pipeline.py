@@ -49,3 +49,22 @@ def test_registered_names():
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
     assert set(entry.oracle_sql()) <= set(names)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "language ID", "SimHash near-dedup", "benchmark decontamination", "byte-level BPE"]
+
+
+def test_pipeline_on_odd_and_empty_tables(spark, tmp_path):
+    from helpers import empty_docs, odd_docs, prose
+
+    labels = spark.createDataFrame([(1, 1, 0), (4, 1, 0), (None, 0, None), (9, None, 1), (7, 1, 0)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(1, prose(2, 30)), (None, None), (3, "")], "item_id long, text string")
+    for name, docs in (("odd", odd_docs(spark, clashes=True)), ("empty", empty_docs(spark))):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        (labels if name == "odd" else labels.limit(0)).write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        (bench if name == "odd" else bench.limit(0)).write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    rows = corpus_pipeline.run(spark, f"{tmp_path}/odd").collect()
+    assert {r.doc_id for r in rows} <= {1, 4, 5, 7, 9, None} and len(rows) >= 2
+    empty = corpus_pipeline.run(spark, f"{tmp_path}/empty")
+    assert empty.count() == 0 and empty.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    for name in ("op1_document_fingerprints", "op2_sharding", "op3_quality_classifier", "op4_benchmark_decontamination",
+                 "op5_language_id", "op6_simhash_near_dedup", "op7_byte_bpe", "op8_token_counts"):
+        assert entry.queries()[name](spark, f"{tmp_path}/empty").count() == 0
+        assert entry.queries()[name](spark, f"{tmp_path}/odd").count() >= 0

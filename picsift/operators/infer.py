@@ -64,7 +64,7 @@ def embed(df: DataFrame, key: str, inputs: list[str], make_embedder: EmbedderFac
                 for c in carry:
                     extra[c].extend(chunk[c].tolist())
             yield pd.DataFrame({key: keys, out: vecs, "error": errs, **extra})
-    return df.select(key, *dict.fromkeys(inputs + carry)).mapInPandas(run, schema)
+    return df.select(*dict.fromkeys([key, *inputs, *carry])).mapInPandas(run, schema)
 
 
 DETECTION_SCHEMA = ("{key} {ktype}, face_ord int, x1 int, y1 int, x2 int, y2 int, conf double, "

@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import bits
 from ..operators import exact as exact_ops
-from ..operators import boxes, hamming, near as near_ops, people, reports, scan
+from ..operators import boxes, hamming, infer, near as near_ops, people, reports, scan
 from ..operators import layout, ledger, upsert as upsert_ops
 from ..operators.similarity import top_k
 from ..operators.zeroshot import zero_shot
 from ..sources import fixtures
+from ..sources.tables import read_table
 from ..operators.status import current_images
-from ..params import OK
+from ..params import DEFAULT, OK
 from ..session import cut_lineage
 from . import stages
 
@@ -217,6 +218,79 @@ def q_layout_chains(spark: SparkSession, sf: str) -> DataFrame:
     return layout.place_files(cut_lineage(moved)).select("path", "new_path")
 
 
+def q_effective_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """Where each file is read from when part of the layout was carried out."""
+    from ..operators.status import effective_path
+    rows = fixtures.assets(spark, sf).select("path", "doc_id", F.when(F.col("doc_id") % 3 != 0, F.concat(
+        F.lit("output/by_date/"), F.col("doc_id").cast("string"), F.lit(".jpg"))).alias("new_path"))
+    there = rows.filter((F.col("doc_id") % 2 == 0) & F.col("new_path").isNotNull()).select(F.col("new_path").alias("path"))
+    return effective_path(rows, there).select("path", "read_path")
+
+
+def q_scan_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """S8e: paths attempted by an earlier run and by this one."""
+    img = scan.scan_status(fixtures.assets(spark, sf), keep=("doc_id",)).filter(F.col("status") == OK)
+    return ledger.mark_processed(img.filter(F.col("date_taken") < "1998"), img.filter(F.col("doc_id") % 4 == 1)).select("path")
+
+
+def q_conform(spark: SparkSession, sf: str) -> DataFrame:
+    """An older table without later columns, brought to the declared schema."""
+    from ..schema import conform
+    old = fixtures.assets(spark, sf).select("path", F.when(F.col("doc_id") % 7 != 0, F.lit("deleted_tiny")).alias("status"),
+                                            F.col("width").cast("long").alias("width"))
+    return conform(old).select("path", "status", "width", "face_cluster_id", "face_scanned", "new_path")
+
+
+def q_brightness_status(spark: SparkSession, sf: str) -> DataFrame:
+    """Scan decisions with the opt-in pixel check."""
+    from ..params import Params
+    lum = F.struct(((F.col("doc_id") * 17) % 256).cast("double").alias("mean"), ((F.col("doc_id") * 7) % 40).cast("double").alias("std"))
+    return scan.scan_status(fixtures.assets(spark, sf).withColumn("lum", lum), Params(check_brightness=True)).select("path", "status", "width")
+
+
+def _toy_detector():
+    def fn(pdf):
+        if (pdf["doc_id"] % 29 == 0).any():
+            raise RuntimeError("no image")
+        return [[] if i % 5 == 0 else [(-3.7 + i % 7, 2.5, w * 0.5, h + 10.0, 0.9), (5.0, 5.0, 5.5, 9.0, 0.8), (1.0, 1.0, 20.0, 20.0, i % 100 / 100)]
+                for i, w, h in zip(pdf["doc_id"].tolist(), pdf["width"].tolist(), pdf["height"].tolist())]
+    return fn
+
+
+def _toy_embedder():
+    import numpy as np
+
+    def fn(pdf):
+        if (pdf["vec_id"] % 17 == 0).any():
+            raise ValueError("bad input")
+        return np.array([list(v)[:4] for v in pdf["embedding"]], dtype=np.float64)
+    return fn
+
+
+def _detections(spark: SparkSession, sf: str) -> DataFrame:
+    return infer.detect(fixtures.assets(spark, sf).select("path", "doc_id", "width", "height"), "path", ["doc_id", "width", "height"],
+                        _toy_detector, DEFAULT.face_conf_threshold, 16)
+
+
+def _embedded(spark: SparkSession, sf: str) -> DataFrame:
+    return infer.embed(read_table(spark, sf, "embeddings").select("vec_id", "embedding"), "vec_id", ["vec_id", "embedding"], _toy_embedder, 16)
+
+
+def q_detections(spark: SparkSession, sf: str) -> DataFrame:
+    """A detector in mini-batches, failing images retried alone."""
+    return _detections(spark, sf).select("path", "face_ord", "x1", "y1", "x2", "y2", "conf", "error")
+
+
+def q_embed_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """An embedder in mini-batches, unit vectors, failing rows isolated."""
+    return _embedded(spark, sf).select("vec_id", F.size("vec").alias("dims"), F.round(F.col("vec")[0], 6).alias("v0"), "error")
+
+
+def q_inference_counters(spark: SparkSession, sf: str) -> DataFrame:
+    """A6."""
+    return infer.inference_counters(_detections(spark, sf), _embedded(spark, sf))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_status": q_scan_status,
     "exif_normalize": q_exif_normalize,
@@ -254,4 +328,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "layout_rerun": q_layout_rerun,
     "layout_rerun_stats": q_layout_rerun_stats,
     "layout_chains": q_layout_chains,
+    "effective_paths": q_effective_paths,
+    "scan_ledger": q_scan_ledger,
+    "conform": q_conform,
+    "brightness_status": q_brightness_status,
+    "detections": q_detections,
+    "embed_vectors": q_embed_vectors,
+    "inference_counters": q_inference_counters,
 }

@@ -288,6 +288,21 @@ regroup AS (
 )"""
 
 
+DETECTED = """
+, raw_boxes AS (
+  SELECT path, 0 AS face_ord, -3.7 + doc_id % 7 AS x1, 2.5 AS y1, width * 0.5 AS x2, height + 10.0 AS y2, CAST(0.9 AS DOUBLE) AS conf, width, height, doc_id FROM assets
+  UNION ALL
+  SELECT path, 2, 1.0, 1.0, 20.0, 20.0, CAST(doc_id % 100 AS DOUBLE) / 100, width, height, doc_id FROM assets WHERE doc_id % 100 >= 25
+),
+detected AS (
+  SELECT path, CAST(face_ord AS INTEGER) AS face_ord, greatest(0, CAST(trunc(x1) AS INTEGER)) AS x1, greatest(0, CAST(trunc(y1) AS INTEGER)) AS y1,
+         least(width, CAST(trunc(x2) AS INTEGER)) AS x2, least(height, CAST(trunc(y2) AS INTEGER)) AS y2, conf, CAST(NULL AS VARCHAR) AS error
+  FROM raw_boxes WHERE doc_id % 5 <> 0 AND doc_id % 29 <> 0
+  UNION ALL
+  SELECT path, NULL, NULL, NULL, NULL, NULL, NULL, 'RuntimeError: no image' FROM assets WHERE doc_id % 29 = 0
+)"""
+
+
 def _with(*ctes: str, body: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(c.strip() for c in ctes) + "\n" + body
 
@@ -400,6 +415,29 @@ ORACLE: dict[str, str] = {
     "layout_rerun_stats": _with(ASSETS, LAYOUT, body="""
         SELECT (SELECT count(*) FROM lay1 WHERE doc_id % 7 <> 3) AS moved, (SELECT count(*) FROM lay1 WHERE doc_id % 7 = 3) AS skipped,
                CAST(0 AS BIGINT) AS links"""),
+    "effective_paths": _with(ASSETS, body="""
+        SELECT path, CASE WHEN doc_id % 3 <> 0 AND doc_id % 2 = 0 THEN 'output/by_date/' || CAST(doc_id AS VARCHAR) || '.jpg' ELSE path END AS read_path
+        FROM assets"""),
+    "scan_ledger": _with(ASSETS, body="""
+        SELECT DISTINCT path FROM scan WHERE status = 'ok' AND (date_taken < '1998' OR doc_id % 4 = 1)"""),
+    "conform": _with(ASSETS, body="""
+        SELECT path, CASE WHEN doc_id % 7 <> 0 THEN 'deleted_tiny' ELSE 'ok' END AS status, width, CAST(-1 AS INTEGER) AS face_cluster_id,
+               false AS face_scanned, CAST(NULL AS VARCHAR) AS new_path FROM assets"""),
+    "brightness_status": _with(ASSETS, body="""
+        SELECT path, CASE WHEN NOT decode_ok OR (doc_id * 17) % 256 < 10 OR (doc_id * 7) % 40 < 5 THEN 'deleted_corrupt'
+                          WHEN width < 50 OR height < 50 THEN 'deleted_tiny' ELSE 'ok' END AS status,
+               CASE WHEN decode_ok THEN width END AS width FROM assets"""),
+    "detections": _with(ASSETS, body=DETECTED + """
+        SELECT path, face_ord, x1, y1, x2, y2, conf, error FROM detected"""),
+    "embed_vectors": """
+        SELECT vec_id, CASE WHEN vec_id % 17 <> 0 THEN 4 END AS dims,
+               CASE WHEN vec_id % 17 <> 0 THEN round(CAST(embedding[1] AS DOUBLE) / sqrt(list_sum(list_transform(embedding[1:4], lambda x: CAST(x AS DOUBLE) * x))), 6) END AS v0,
+               CASE WHEN vec_id % 17 = 0 THEN 'ValueError: bad input' END AS error FROM embeddings""",
+    "inference_counters": _with(ASSETS, body=DETECTED + """
+        SELECT (SELECT count(error) FROM detected) AS detector_errors,
+               (SELECT count(DISTINCT path) FROM detected WHERE face_ord IS NOT NULL) AS images_with_faces,
+               (SELECT count(*) FROM embeddings WHERE vec_id % 17 = 0) AS embed_errors,
+               (SELECT count(*) FROM embeddings WHERE vec_id % 17 <> 0) AS embeddings"""),
     "unscanned": _with(ASSETS, body="""
         SELECT path FROM cur WHERE status = 'ok'
           AND path NOT IN (SELECT path FROM cur WHERE status = 'ok' AND date_taken < '1998')"""),

@@ -41,6 +41,8 @@ from .textvec import CUT, cuts, words_of
 LANES = 1024
 #: Words of a run in the signed lanes; a shorter paragraph is one run.
 RUN = 4
+#: Rows of a range of ids that a task walks through, and ranges at most (the driver holds their bounds).
+ROWS_PER_RANGE, MAX_RANGES = 50_000, 20_000
 #: Paragraphs that are summed at a time.
 _STEP = 256
 _LEAST = -(1 << 63)
@@ -201,7 +203,8 @@ def edited(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     edited_fingerprint, near_edited, near_next.
 
     The edited state is the text's state with the paragraphs that differ deleted and inserted."""
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                 min(MAX_RANGES, df.count() // ROWS_PER_RANGE))
     rows = _dealt(df, text, doc_id, ranges)
     schema = StructType([StructField("doc_id", df.schema[doc_id].dataType), StructField("n_chars", LongType()),
                          StructField("edited_sha256", StringType()), StructField("fingerprint", StringType()),

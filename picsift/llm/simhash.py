@@ -38,7 +38,7 @@ from .common import fresh, read, stored, with_text_function
 #: The contract's values.
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
 #: Different fingerprints under one point that are still joined pair by pair.
-HOT = 1000
+HOT = 256
 #: Fingerprints in a block of a hot point.
 BLOCK = 2048
 #: Bytes of a text whose words are held at a time.

@@ -58,7 +58,7 @@ def test_odd_rows_and_empty_table(spark):
     assert simhash.near_duplicates(empty_docs(spark)).count() == 0
 
 
-@pytest.mark.parametrize("hot,block", [(1000, 2048), (1, 3), (4, 2)])
+@pytest.mark.parametrize("hot,block", [(256, 2048), (1, 3), (4, 2)])
 def test_links_of_planted_fingerprints(spark, hot, block):
     rng = random.Random(5)
     values = set()
@@ -78,7 +78,7 @@ def test_links_of_planted_fingerprints(spark, hot, block):
         g = group[v % (1 << 64)]
         least[g] = min(least.get(g, i), i)
     assert {r.fp % (1 << 64): r.component_id for r in rows} == {v: least[group[v]] for v in values}
-    if hot == 1000:      # each pair that is near is fetched, and from each segment once at most
+    if hot == 256:      # each pair that is near is fetched, and from each segment once at most
         pairs = [(r.src % (1 << 64), r.dst % (1 << 64)) for r in simhash.links(spark.createDataFrame(signed, "doc_id long, fp long")).collect()]
         near = {frozenset((a, b)) for a in values for b in values if a < b and (a ^ b).bit_count() <= 4}
         assert {frozenset(p) for p in pairs} == near and len(pairs) <= 2 * len(near)

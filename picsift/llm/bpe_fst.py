@@ -62,6 +62,10 @@ class Vocabulary:
             self.token_at[node] = rank
         self._stands: dict[int, bool] = {}
 
+    def forget(self) -> None:
+        """Drop what ``stands`` has learned."""
+        self._stands.clear()
+
     def merge(self, data: bytes) -> list[int]:
         """The definition: join the neighbours of lowest joint rank (leftmost
         first) until no two neighbours form a token."""
@@ -85,8 +89,6 @@ class Vocabulary:
         if known is None:
             a, b = self.bytes_of.get(left, b""), self.bytes_of[right]
             known = self.merge(a + b) == ([left, right] if left >= 0 else [right])
-            if len(self._stands) >= 4_000_000:
-                self._stands.clear()
             self._stands[key] = known
         return known
 
@@ -100,7 +102,7 @@ class Transducer:
     numbers of token tuples, number 0 being the empty one.
     """
 
-    def __init__(self, vocab: Vocabulary, max_states: int = 600_000):
+    def __init__(self, vocab: Vocabulary, max_states: int = 300_000):
         self.vocab, self.max_states = vocab, max_states
         self._reset()
 
@@ -111,10 +113,11 @@ class Transducer:
         self.out_at, self.out_len, self.out_flat = _Grown(np.int64), _Grown(np.int64), _Grown(np.int32)
         self.out_at.add([0])
         self.out_len.add([0])
-        self.arc_to, self.arc_out, self.end_out = _Grown(np.int64), _Grown(np.int64), _Grown(np.int64)
+        self.arc_to, self.arc_out, self.end_out = _Grown(np.int32), _Grown(np.int32), _Grown(np.int32)
         self.end_out.add([0])
         self.keys = np.full(1 << 16, -1, dtype=np.int64)
-        self.arcs = np.zeros(1 << 16, dtype=np.int64)
+        self.arcs = np.zeros(1 << 16, dtype=np.int32)
+        self.vocab.forget()
 
     # --- hash table of arcs -------------------------------------------------
     def _slot(self, keys: np.ndarray) -> np.ndarray:
@@ -139,8 +142,8 @@ class Transducer:
         if 2 * (self.arc_to.n) > len(self.keys):
             old = self.keys >= 0
             keys, arcs = np.concatenate([self.keys[old], keys]), np.concatenate([self.arcs[old], arcs])
-            size = len(self.keys) * 4
-            self.keys, self.arcs = np.full(size, -1, dtype=np.int64), np.zeros(size, dtype=np.int64)
+            size = len(self.keys) * 2
+            self.keys, self.arcs = np.full(size, -1, dtype=np.int64), np.zeros(size, dtype=np.int32)
         slot = self._slot(keys)
         rest = np.arange(len(keys))
         while len(rest):

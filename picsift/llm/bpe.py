@@ -30,8 +30,10 @@ from .common import read, with_text_function
 MAX_VOCABULARY = 64 << 20
 #: Characters of a text that are encoded at a time.
 CUT = 1 << 20
+#: States that a worker's machine learns before it starts anew: about 0.4 KB each, with their arcs.
+STATES = 600_000
 
-_made: dict[tuple[str, str], Codec] = {}
+_made: dict[tuple[str, str, int], Codec] = {}
 _cut_at = re.compile(f"(?<=[^{WHITE}]) (?=[^{WHITE}])")
 
 
@@ -55,11 +57,11 @@ def _vocabulary(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-def _codec(data: bytes, pattern: str) -> Codec:
+def _codec(data: bytes, pattern: str, max_states: int = STATES) -> Codec:
     """The worker's machine: what it has learned serves later tasks too."""
-    key = (hashlib.sha256(data).hexdigest(), pattern)
+    key = (hashlib.sha256(data).hexdigest(), pattern, max_states)
     if key not in _made:
-        _made[key] = Codec(Vocabulary(data), pattern)
+        _made[key] = Codec(Vocabulary(data), pattern, max_states)
     return _made[key]
 
 

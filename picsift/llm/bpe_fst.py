@@ -310,9 +310,9 @@ class Codec:
     encoded by itself.  The different words of a batch of texts run through the
     transducer together; memory is bounded by the batch and the machine."""
 
-    def __init__(self, vocab: Vocabulary, pattern: str):
+    def __init__(self, vocab: Vocabulary, pattern: str, max_states: int = 300_000):
         self.vocab = vocab
-        self.machine = Transducer(vocab)
+        self.machine = Transducer(vocab, max_states)
         self.split = regex.compile(pattern)
         # A run of non-space characters with the one space before it is cut the
         # same way wherever it stands, and a run of white space is one pre-token.

@@ -36,6 +36,8 @@ from .common import portions, read, stored
 
 #: Tokens in a block; the end-of-document id and id type of the registered query's files.
 BLOCK, END_OF_DOCUMENT, WIDTH = 1 << 20, 50256, "<u2"
+#: States of the encoder's machine; the writer needs memory of its own.
+STATES = 300_000
 
 
 def blocks_of_files(spark: SparkSession, path: str, width: str = WIDTH, block: int = BLOCK) -> DataFrame:
@@ -105,7 +107,7 @@ def write_tokens(df: DataFrame, folder: str, path: str, text: str = "text", doc_
         from pyspark import TaskContext
         from pyspark.sql.pandas.types import to_arrow_type
 
-        codec, file, number = _codec(data.value, pattern), f"part-{TaskContext.get().partitionId():05d}", 0
+        codec, file, number = _codec(data.value, pattern, STATES), f"part-{TaskContext.get().partitionId():05d}", 0
         held: list[np.ndarray] = []
         names: list = []           # (tokens up to and with the separator, doc_id), in the block to come
         total = 0

@@ -31,7 +31,8 @@ from picsift.session import ensure_checkpoint_dir
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every remaining document."""
-    return digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    # workers that ran the earlier stages have less memory left than those of op7
+    return digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), max_states=200_000)
 
 
 STAGES = [

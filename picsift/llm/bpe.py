@@ -115,13 +115,14 @@ DIGESTS = StructType([StructField("n_tokens", LongType()), StructField("ids_sha2
 
 
 def digests(df: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
-            pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+            pattern: str = public_tokenizers.PATTERN, max_states: int = STATES) -> DataFrame:
     """Columns ``keep``, the number of ids, the hash of the ids as decimals
-    joined by one space and the hash of what the ids decode to."""
+    joined by one space and the hash of what the ids decode to.  ``max_states`` bounds
+    the memory of a worker's machine; results don't depend on it."""
     data = _vocabulary(df.sparkSession, path)
 
     def make() -> Callable:
-        codec = _codec(data.value, pattern)
+        codec = _codec(data.value, pattern, max_states)
         decoder, decimals = Utf8Decoder(codec.vocab), Decimals(codec.vocab)
 
         def run(texts: list) -> list[list]:

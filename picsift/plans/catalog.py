@@ -205,7 +205,8 @@ def q_layout_rerun(spark: SparkSession, sf: str) -> DataFrame:
 def q_layout_rerun_stats(spark: SparkSession, sf: str) -> DataFrame:
     """A12 with skipped files."""
     cur, placed = stages.rerun_layout(spark, sf)
-    return layout.layout_stats(cur, placed, layout.view_links(placed).limit(0))
+    placed = cut_lineage(placed)
+    return layout.layout_stats(cur, placed, layout.view_links(placed))
 
 
 def q_layout_chains(spark: SparkSession, sf: str) -> DataFrame:

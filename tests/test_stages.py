@@ -162,3 +162,17 @@ def test_layout_chains_query_gives_the_first_free_names(spark):
     rows = sorted(tuple(r) for r in QUERIES["layout_chains"](spark, "/root/testdata/sf0.001").collect())
     assert len({n for _, n in rows}) == len(rows) > 100
     _check_names([p.rsplit("/", 1)[1] for p, _ in rows], [n.rsplit("/", 1)[1] for _, n in rows])
+
+
+def test_layout_rerun_stats_counts_every_link(spark):
+    from picsift.plans import catalog, stages
+    sf = "/root/testdata/sf0.001"
+    rows = stages.rerun_layout(spark, sf)[1].collect()
+    want = set()
+    for r in rows:
+        name = r.new_path.rsplit("/", 1)[-1]
+        want |= {("category", r.category or "uncategorized", name), ("camera", r.camera_make, r.camera_model, name)}
+        if r.face_cluster_id is not None and r.face_cluster_id >= 0:
+            want.add(("person", r.face_cluster_id, name))
+    got = catalog.q_layout_rerun_stats(spark, sf).first()
+    assert got.links == len(want) > 0 and got.moved == len(rows)

@@ -17,7 +17,8 @@ scanned by many tasks.
 
 Defined results: a document without tokens counts 0; tokens after a file's last
 separator are a last document that is not closed; an empty file or table gives no
-row; a file whose length is no multiple of the id's width is an error.
+row; a file whose length is no multiple of the id's width is an error, and so is a vocabulary
+with the separator among its ids or with ids that the width can't hold.
 """
 
 from __future__ import annotations
@@ -94,6 +95,15 @@ def documents(scanned: DataFrame) -> DataFrame:
     return closed.unionByName(rest)
 
 
+def _check_ids(ranks: list[int], separator: int, width: str) -> None:
+    """An id that wraps, or that is the separator, would split documents unseen."""
+    largest = np.iinfo(np.dtype(width)).max
+    if max(ranks, default=0) > largest or not 0 <= separator <= largest:
+        raise ValueError(f"ids up to {max(ranks, default=0)} and the separator {separator} do not all fit {width}")
+    if separator in ranks:
+        raise ValueError(f"the separator {separator} is an id of the vocabulary")
+
+
 def write_tokens(df: DataFrame, folder: str, path: str, text: str = "text", doc_id: str = "doc_id",
                  pattern: str = public_tokenizers.PATTERN, separator: int = END_OF_DOCUMENT, width: str = WIDTH,
                  block: int = BLOCK) -> DataFrame:
@@ -101,6 +111,7 @@ def write_tokens(df: DataFrame, folder: str, path: str, text: str = "text", doc_
     blocks: (file, block, tokens, doc_ids) - doc_ids names the documents that end in the
     block, in order, and is not read by the scan."""
     data = _vocabulary(df.sparkSession, path)
+    _check_ids([int(line.split()[1]) for line in data.value.splitlines() if line.strip()], separator, width)
     kind = df.schema[doc_id].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

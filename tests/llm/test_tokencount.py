@@ -53,3 +53,14 @@ def test_odd_rows_over_small_blocks(spark, tmp_path):
     assert sorted(map(str, named)) == sorted(str(r[0]) for r in odd_rows())
     none = tokencount.write_tokens(empty_docs(spark), f"{tmp_path}/e", PATH)
     assert tokencount.documents(tokencount.scan(none)).count() == 0
+
+
+@pytest.mark.parametrize("last,separator,width", [(70000, 50256, "<u2"), (255, 65536, "<u2"), (50256, 50256, "<u2")])
+def test_ids_that_would_wrap_or_separate_are_refused(spark, tmp_path, last, separator, width):
+    import base64
+    lines = [f"{base64.b64encode(bytes([i])).decode()} {i}" for i in range(256)] + [f"{base64.b64encode(b'ab').decode()} {max(last, 256)}"]
+    (tmp_path / "v.tiktoken").write_text("\n".join(lines) + "\n")
+    df = spark.createDataFrame([(1, "abab")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="separator"):
+        tokencount.write_tokens(df, f"{tmp_path}/t", f"{tmp_path}/v.tiktoken", separator=separator, width=width)
+    tokencount.write_tokens(df, f"{tmp_path}/w", f"{tmp_path}/v.tiktoken", separator=99999, width="<u4")

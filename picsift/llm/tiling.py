@@ -15,7 +15,8 @@ Pairs come from the join alone: documents that share nothing with the benchmark
 are never shuffled, and a passage that many documents hold gives one pair for each of them.
 
 Defined results: tokens are runs of ASCII letters, digits and non-ASCII characters
-other than spaces and general punctuation, lower-cased; null or token-free texts
+other than spaces, general and ideographic punctuation, lower-cased, and in scripts without
+spaces (Han, kana, Thai, Lao, Khmer, Myanmar) single characters; null or token-free texts
 and items match nothing; an item in the table twice is reported twice, as are
 repeated documents.
 """
@@ -38,7 +39,14 @@ MATCH, COVERAGE = 5, 0.5
 #: Bits of the seed bitmap for each seed, and at most (32 MB); bits that a seed sets.
 BITS_PER_SEED, MAX_BITS, PROBES = 64, 1 << 28, 4
 
-_TOKEN = re.compile("[0-9a-z\u0080-\u009f¡-῿⁰-⿿、-\U0010ffff]+")
+#: Scripts written without spaces (Thai, Lao, Myanmar, Khmer, Han, kana): each character is a token.
+_UNSPACED = ("฀-໿က-႟ក-៿᧠-᧿⺀-⿟々-〇぀-ゟァ-ヺー-ヿ"
+             "ㇰ-ㇿ㐀-䶿一-鿿豈-﫿ｦ-ﾟ\U00020000-\U0003ffff")
+#: What else makes up words; ideographic and full-width punctuation is in neither.
+_SPACED = ("0-9a-z\u0080-\u009f¡-෿ༀ-࿿Ⴀ-᝿᠀-᧟ᨀ-῿⁰-⹿⿠-⿿㄀-㇯"
+           "㈀-㏿䷀-䷿ꀀ-ﬀ-︯﹐-＀０-９Ａ-Ｚａ-ｚﾠ-\U0001ffff"
+           "\U00040000-\U0010ffff")
+_TOKEN = re.compile(f"[{_SPACED}]+|[{_UNSPACED}]")
 _BASE = np.uint64(0x100000001B3)
 
 

@@ -92,3 +92,12 @@ def test_odd_rows_and_stage(spark, tmp_path):
 def test_repeated_words_stay_bounded():
     item, doc = ["der"] * 200, ["der"] * 20_000
     assert tiling.tiles(item, doc) == [(0, 0, 200)]
+
+
+def test_passages_in_scripts_without_spaces_are_found():
+    for item in ("天地玄黄宇宙洪荒日月盈昃", "いろはにほへとちりぬるを", "ทุกคนเกิดมามีอิสระ"):
+        words = tiling.tokens(item)
+        assert words == list(item)
+        doc = tiling.tokens(f"古人云「{item}」後文也在此。")
+        assert sum(n for _, _, n in tiling.tiles(words, doc)) == len(words)
+    assert tiling.tokens("漢、字。ABC漢 한국어 naïve，x") == ["漢", "字", "abc", "漢", "한국어", "naïve", "x"]

@@ -12,8 +12,8 @@ into blocks that know nothing of documents:
    and its token count, across block boundaries.
 
 Only the places of separators (4 bytes a document) and one summary row for each block are
-shuffled.  Blocks are bounded (``BLOCK`` tokens), so a file that holds most tokens is
-scanned by many tasks.
+shuffled.  Blocks are bounded (``BLOCK`` tokens), so a file that ``write_tokens`` stores as
+blocks is scanned by many tasks; ``blocks_of_files`` reads a flat file whole, in one task.
 
 Defined results: a document without tokens counts 0; tokens after a file's last
 separator are a last document that is not closed; an empty file or table gives no

@@ -6,6 +6,7 @@ from .bpe import op7_byte_bpe
 from .chat import OP10_SQL, op10_chat
 from .langid import op5_language
 from .multiset import op1_fingerprints
+from .negatives import OP11_SQL, op11_negatives
 from .quality import op3_quality
 from .sharding import op2_sharding
 from .simhash import op6_simhash
@@ -24,9 +25,11 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_url_filters": op9_url_filters,
     "op10_chat_formatting": op10_chat,
+    "op11_hard_negatives": op11_negatives,
 }
 
 ORACLE: dict[str, str] = {
     "op9_url_filters": OP9_SQL,
     "op10_chat_formatting": OP10_SQL,
+    "op11_hard_negatives": OP11_SQL,
 }

@@ -13,6 +13,7 @@ from .simhash import op6_simhash
 from .tiling import op4_decontamination
 from .tokencount import op8_token_counts
 from .urls import OP9_SQL, op9_url_filters
+from .variants import op12_variants
 
 QUERIES = {
     "op1_document_fingerprints": op1_fingerprints,
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_url_filters": op9_url_filters,
     "op10_chat_formatting": op10_chat,
     "op11_hard_negatives": op11_negatives,
+    "op12_spelling_variants": op12_variants,
 }
 
 ORACLE: dict[str, str] = {

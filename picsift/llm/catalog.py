@@ -7,6 +7,7 @@ from .chat import OP10_SQL, op10_chat
 from .langid import op5_language
 from .multiset import op1_fingerprints
 from .negatives import OP11_SQL, op11_negatives
+from .packing import op13_packing
 from .quality import op3_quality
 from .sharding import op2_sharding
 from .simhash import op6_simhash
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_chat_formatting": op10_chat,
     "op11_hard_negatives": op11_negatives,
     "op12_spelling_variants": op12_variants,
+    "op13_packing": op13_packing,
 }
 
 ORACLE: dict[str, str] = {

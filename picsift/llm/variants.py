@@ -2,22 +2,22 @@
 
 Two words are near if one inserted, deleted or replaced character turns one into the other.
 Words lie in a trie that is an edge table: (node, label, child), spread over the cluster.  A
-frontier of states (word, position, node, edits) starts at the root and is joined with the edge table
+frontier of states (word, position, node, edits) is joined with the edge table
 level by level; a state follows an edge whose label it matches, or spends its one edit on
 replacing or deleting a character of the word.  A state with one edit that ends its word at the end of another
 has found a neighbour.  An insertion is the other word's deletion, and a replacement is looked for
 towards the larger character, so each link is found from one side.
 
-Two things keep the frontier small.  Nodes with a single child that end no word are
-left out, so an edge's label has one character or more and the number of levels is that of the
-forks on a word's way, not of its characters.  And words are in two tries, one of them reversed: each
-allows its edit in the second half of the word only, where few words still share the way.
+Two things keep the frontier small.  Words are in two tries, one of them reversed, and each allows its edit
+in the second half of the word only, where few words still share the way; a node is named by the hash of its
+prefix, so a word's frontier starts at the node of its first half, and the tries hold the second halves.
+And nodes with a single child where no word ends and no word's frontier starts are left out, so an edge's label has one
+character or more and the number of levels is that of the forks on a word's way, not of its characters.
 
-Scale and skew: words are counted with partial counts, so a common word is no matter.  A state whose
-next character must match is joined on (node, character), the others on the node; both sides of these
-joins are stored tables, so Spark splits a node that many words pass (the root, a common
-prefix).  Each level is written to the shared folder.  Nodes are named by a 64-bit hash of their
-prefix; a collision could only add pairs, and every pair is verified.
+Scale and skew: words are counted with partial counts, so a common word is no matter.  States and edges
+are joined on the node; both sides are stored tables, so Spark splits a node that many words pass.  Each level
+is written to the shared folder.  Nodes' names are 64-bit hashes; a collision could only add pairs, and every pair
+is verified.
 
 Defined results: a null or empty text has no words; a null id counts as the empty string in the hash
 that picks runs; repeated rows count again; where no word is left the result is empty.  Of
@@ -74,6 +74,9 @@ def word_of(prefix: int, run: str, every: int = EVERY) -> str:
 def word_counts(df: DataFrame, text: str = "text", doc_id: str = "doc_id", shortest: int = SHORTEST,
                 occurrences: int = OCCURRENCES, every: int = EVERY) -> DataFrame:
     """(word, n): the words and their occurrences in all rows."""
+    if shortest < 3:
+        raise ValueError("words need three characters, so that each has a second half to edit")
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_pylist()
@@ -93,120 +96,122 @@ def word_counts(df: DataFrame, text: str = "text", doc_id: str = "doc_id", short
     return part.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= occurrences)
 
 
-def _prefixes(words: list[str], salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For every word and length t from 0 to its whole: number of the word, t, hash of its first t characters."""
+def half_of(size: int, back: bool) -> int:
+    """Characters of a word of ``size`` before the half in which the trie allows an edit; the two
+    tries together allow it everywhere."""
+    return (size + back) // 2
+
+
+def _prefixes(words: list[str], salt: int, first: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every word and length t from ``first`` (0) to its whole: number of the word, t, hash of its first t characters."""
     sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    first = np.zeros(len(words), dtype=np.int64) if first is None else first
     chars = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
-    begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    begin = np.cumsum(sizes) - sizes
     at = np.arange(len(chars)) - np.repeat(begin, sizes)
     powers = np.cumprod(np.full(int(sizes.max(initial=0)) + 1, 0x9E3779B97F4A7C15, dtype=np.uint64))
     total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum((chars + np.uint64(1)) * powers[at], dtype=np.uint64)])
-    which = np.repeat(np.arange(len(words)), sizes + 1)
-    t = np.arange(len(which)) - np.repeat(np.cumsum(sizes + 1) - sizes - 1, sizes + 1)
+    many = sizes + 1 - first
+    which = np.repeat(np.arange(len(words)), many)
+    t = np.arange(len(which)) - np.repeat(np.cumsum(many) - many - first, many)
     z = total[begin[which] + t] - total[begin[which]] + t.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(salt)
     z = (z ^ (z >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
     return which, t, (z ^ (z >> np.uint64(29))).view(np.int64)
 
 
 def trie_ways(words: DataFrame) -> DataFrame:
-    """(way, word, back, t, node, next): each word's ways through both tries, a node for every
-    length t; ``way`` is the word as it is read (reversed if ``back``), ``next`` its character after t."""
+    """(number, back, t, node, kind, next): each word's ways through the second halves of both tries, a node for every
+    length t; ``next`` is the character after it, ``kind`` 0 where the way starts, 2 where it ends, else 1."""
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, WORDS):
-                those = batch.column(0).slice(start, WORDS).to_pylist()
+                numbers = batch.column(0).slice(start, WORDS).to_numpy()
+                those = batch.column(1).slice(start, WORDS).to_pylist()
                 for back in (False, True):
                     ways = [w[::-1] for w in those] if back else those
-                    which, t, node = _prefixes(ways, int(back))
-                    after = list("".join(w + "\0" for w in ways))
+                    sizes = np.fromiter(map(len, ways), dtype=np.int64, count=len(ways))
+                    first = (sizes + back) // 2
+                    which, t, node = _prefixes(ways, int(back), first)
+                    after = np.frombuffer("".join(w[half_of(len(w), back):] + "\0" for w in ways).encode("utf-32-le"), dtype="<i4")
+                    kind = np.where(after == 0, 2, np.where(t == first[which], 0, 1)).astype(np.int8)
                     for cut in range(0, len(which), ROWS):
-                        rows = pa.array(which[cut:cut + ROWS])
-                        chars = pa.array([None if c == "\0" else c for c in after[cut:cut + ROWS]], pa.string())
+                        here = slice(cut, cut + ROWS)
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(ways, pa.string()).take(rows), pa.array(those, pa.string()).take(rows), pa.array([back] * len(rows)),
-                             pa.array(t[cut:cut + ROWS].astype(np.int32)), pa.array(node[cut:cut + ROWS]), chars],
-                            names=["way", "word", "back", "t", "node", "next"])
+                            [pa.array(numbers[which[here]]), pa.array(np.full(len(which[here]), back)), pa.array(t[here].astype(np.int32)),
+                             pa.array(node[here]), pa.array(kind[here]), pa.array(after[here])],
+                            names=["number", "back", "t", "node", "kind", "next"])
 
-    return words.select("word").mapInArrow(expand, "way string, word string, back boolean, t int, node long, next string")
+    return words.select("number", "word").mapInArrow(expand, "number long, back boolean, t int, node long, kind byte, next int")
 
 
-def trie_edges(words: DataFrame) -> tuple[DataFrame, int]:
-    """The edge table (node, first, label, child, ends) and the number of its levels; ``ends`` is the
-    word that ends at the child.  Nodes are the root, forks, and ends of words."""
+def trie_edges(words: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """For words (number, word): the edge table (node, first, label, child, ends), where ``ends`` is the way that ends at the
+    child; the states (way, back, pos, node) that the words start in; and the number of levels."""
     ways = stored(trie_ways(words))
-    inner = (F.col("t") > 0) & F.col("next").isNotNull()
-    # a node that a word ends at is a fork of those that go on
-    forks = (ways.filter("t > 0").groupBy("node")
-             .agg(F.min("next").alias("least"), F.max("next").alias("most"), F.count_if(F.col("next").isNull()).alias("ends"))
-             .filter("least is not null and (least <> most or ends > 0)").select("node"))
-    kept = ways.filter(inner).join(stored(forks), "node").unionByName(ways.filter(~inner))
+    # nodes where ways part, and nodes that some word ends or starts at while others go on
+    kept = stored(ways.groupBy("node").agg(F.min("next").alias("least"), F.max("next").alias("most"), F.min("kind").alias("kind"))
+                  .filter((F.col("least") != F.col("most")) | (F.col("kind") == 0)).select("node"))
+    inner = F.col("kind") == 1
+    rows = ways.filter(inner).join(kept, "node").select("number", "back", "t", "node").unionByName(
+        ways.filter(~inner).select("number", "back", "t", "node"))
     steps = F.sort_array(F.collect_list(F.struct("t", "node")))          # of one word: as many as it has forks
-    paths = stored(kept.groupBy("way", "word", "back").agg(steps.alias("steps")))
+    paths = stored(rows.groupBy("number", "back").agg(steps.alias("steps")).join(words, "number")
+                   .select(F.when(F.col("back"), F.reverse("word")).otherwise(F.col("word")).alias("way"), "back", "steps"))
     levels = paths.agg(F.max(F.size("steps"))).first()[0] or 1
     pairs = F.transform(F.slice("steps", 1, F.size("steps") - 1), lambda s, i: F.struct(
         s["node"].alias("node"), F.get("steps", i + 1)["node"].alias("child"),
         F.substring("way", s["t"] + 1, F.get("steps", i + 1)["t"] - s["t"]).alias("label"),
-        F.when(i == F.size("steps") - 2, F.col("word")).alias("ends")))
+        F.when(i == F.size("steps") - 2, F.col("way")).alias("ends")))
     edges = (paths.select(F.explode(pairs).alias("e")).select("e.*")
              .groupBy("node", "child", "label").agg(F.max("ends").alias("ends")))
-    return edges.select("node", F.substring("label", 1, 1).alias("first"), "label", "child", "ends"), levels - 1
+    begin = F.get("steps", F.lit(0))
+    return (edges.select("node", F.substring("label", 1, 1).alias("first"), "label", "child", "ends"),
+            paths.select("way", "back", begin["t"].alias("pos"), begin["node"].alias("node")), levels - 1)
 
 
 def _one_step(states: DataFrame, edges: DataFrame) -> DataFrame:
     """The states that follow, each at the child of an edge."""
-    # an edit is allowed from the middle on; the half is chosen so that both tries together cover every place
-    half = F.floor((F.length("way") + F.col("back").cast("int")) / 2).cast("int")
-    open_ = (F.col("edits") == 0) & (F.col("pos") >= half)
     e = edges.select(F.col("node").alias("at"), "first", "label", "child", "ends")
-    s = states.withColumn("half", half).withColumn("char", F.substring("way", F.col("pos") + 1, F.lit(1)))
-    fixed = s.filter(~open_).join(e, (F.col("node") == F.col("at")) & (F.col("char") == F.col("first")))
-    free = s.filter(open_).join(e, F.col("node") == F.col("at"))
-    rows = fixed.unionByName(free)
-    m = F.length("label")
-    rest = F.length("way") - F.col("pos")
-    must = F.least(F.greatest(F.col("half") - F.col("pos"), F.lit(0)), m)      # characters of the label before the middle
+    s = states.select("way", "back", "pos", "node", "edits", F.substring("way", F.col("pos") + 1, F.lit(1)).alias("char"))
+    rows = s.join(e, (F.col("node") == F.col("at")) & ((F.col("edits") == 0) | (F.col("char") == F.col("first"))))
+    m, rest = F.length("label"), F.length("way") - F.col("pos")
     seg = F.substring("way", F.col("pos") + 1, m)
-    longer = F.substring("way", F.col("pos") + 1, m + 1)
     same = seg == F.col("label")
-    begins = F.substring("way", F.col("pos") + 1, must) == F.substring("label", F.lit(1), must)
-    tail = F.substring("label", must + 1, m)
-    may = (F.col("edits") == 0) & begins & (must < m)
-    replaced = may & (F.col("label") > seg) & (rest >= m) & (F.levenshtein(F.substring(seg, must + 1, m), tail, 1) == 1)
-    deleted = may & ~same & (rest > m) & (F.levenshtein(F.substring(longer, must + 1, m + 1), tail, 1) == 1)
+    open_ = (F.col("edits") == 0) & ~same
+    one = F.when(m == 1, F.lit(True)).otherwise(F.levenshtein(seg, F.col("label"), 1) == 1)
+    replaced = open_ & (rest >= m) & (F.col("label") > seg) & one
+    # the last character of a run of equal ones is the one that is deleted: the first label without it follows
+    deleted = open_ & (rest > m) & (F.levenshtein(F.substring("way", F.col("pos") + 1, m + 1), F.col("label"), 1) == 1)
 
     def to(cond: Column, moved: Column, edits: Column) -> Column:
         return F.when(cond, F.struct((F.col("pos") + moved).cast("int").alias("pos"), edits.cast("int").alias("edits")))
 
-    outcomes = F.filter(F.array(to(same, m, F.col("edits")), to(replaced, m, F.lit(1)), to(deleted, m + 1, F.lit(1))), lambda x: x.isNotNull())
-    return (rows.select("way", "word", "back", F.explode(outcomes).alias("o"), "child", "ends")
-            .select("way", "word", "back", F.col("o.pos").alias("pos"), F.col("child").alias("node"), F.col("ends").alias("at_word"), F.col("o.edits").alias("edits")))
+    outcomes = F.array_compact(F.array(to(same, m, F.col("edits")), to(replaced, m, F.lit(1)), to(deleted, m + 1, F.lit(1))))
+    return (rows.select("way", "back", F.explode(outcomes).alias("o"), "child", "ends")
+            .select("way", "back", F.col("o.pos").alias("pos"), F.col("child").alias("node"), F.col("ends").alias("at_way"), F.col("o.edits").alias("edits")))
 
 
 def near_words(words: DataFrame) -> DataFrame:
-    """(word, near) for all near pairs of the different words of ``words``, in both orders."""
-    edges, levels = trie_edges(words)
+    """(word, near) for all near pairs of the different words of ``words``, of three characters or more, in both orders."""
+    numbered = stored(words.select(F.monotonically_increasing_id().alias("number"), "word"))
+    edges, start, levels = trie_edges(numbered)
     edges = stored(edges)
-    root = {back: F.lit(int(_prefixes([""], int(back))[2][0])) for back in (False, True)}
-
-    def start(back: bool) -> DataFrame:
-        return words.select((F.reverse("word") if back else F.col("word")).alias("way"), "word", F.lit(back).alias("back"),
-                            F.lit(0).alias("pos"), root[back].alias("node"), F.lit(None).cast("string").alias("at_word"), F.lit(0).alias("edits"))
-
-    states = stored(start(False).unionByName(start(True)))
+    states = start.select("way", "back", "pos", "node", F.lit(None).cast("string").alias("at_way"), F.lit(0).alias("edits"))
     found = []
     for _ in range(levels):
         states = stored(_one_step(states, edges))
         done = F.length("way") == F.col("pos")
-        found.append(states.filter(F.col("at_word").isNotNull() & ((done & (F.col("edits") == 1))
+        found.append(states.filter(F.col("at_way").isNotNull() & ((done & (F.col("edits") == 1))
                      | ((F.col("edits") == 0) & (F.col("pos") == F.length("way") - 1))))     # its last character deleted
-                     .select("word", F.col("at_word").alias("near")))
+                     .select("way", "at_way", "back"))
         states = states.filter(~done)
     if not found:
         return words.select("word", F.col("word").alias("near")).limit(0)
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
-    pairs = pairs.filter((F.levenshtein("word", "near", 1) == 1)).select(F.least("word", "near").alias("a"), F.greatest("word", "near").alias("b")).distinct()
+    read = [F.when(F.col("back"), F.reverse(c)).otherwise(F.col(c)) for c in ("way", "at_way")]
+    pairs = pairs.filter(F.levenshtein("way", "at_way", 1) == 1).select(F.least(*read).alias("a"), F.greatest(*read).alias("b")).distinct()
     both = F.array(F.struct(F.col("a").alias("word"), F.col("b").alias("near")), F.struct(F.col("b").alias("word"), F.col("a").alias("near")))
     return pairs.select(F.explode(both).alias("p")).select("p.*")
 

@@ -20,7 +20,7 @@ them with at most ``CLASSES`` parts) and one number for each partition.
 
 ``Encoder`` gives the library's ids, faster: a text of characters for which the rules of this
 tokenizer's file are plain (below) is cut into its pieces by a regular expression here, and the
-library encodes each different piece once; other texts, and other tokenizer files, go through the library whole.
+library's model encodes each different piece once; other texts, and other tokenizer files, go through the library whole.
 Strings of special tokens in a text are ordinary text.
 
 Defined results: a null text is an empty text, whose only id is the end mark; repeated rows are
@@ -34,6 +34,7 @@ import json
 import re
 import unicodedata
 import uuid
+from array import array
 from collections.abc import Callable
 
 import numpy as np
@@ -51,27 +52,40 @@ from .cutting import patterns
 SIZE, END = 4096, 2
 #: Classes of length; pieces of text whose ids are remembered; characters encoded at a time.
 CLASSES, REMEMBERED, PORTION = 256, 200_000, 1 << 14
-#: Pieces that are cut at once.
-PIECES = 1024
+#: Pieces that are cut at once; bytes of stored ids that a task holds before it writes them.
+PIECES, ROW_GROUP = 1024, 16 << 20
 
 #: The normalizer and the splitting of the tokenizer file that ``Encoder`` knows.
 _NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 
 def _class_of(kind: str) -> str:
-    """Characters up to U+024F of a Unicode category, as a set of a regular expression."""
-    return "".join(f"\\u{c:04x}" for c in range(0x250) if unicodedata.category(chr(c))[0] == kind)
+    """Characters up to U+017F of a Unicode category, as a set of a regular expression."""
+    return "".join(f"\\u{c:04x}" for c in range(0x180) if unicodedata.category(chr(c))[0] == kind)
 
 
 _LETTER, _NUMBER = _class_of("L"), _class_of("N")
 #: The same pieces for plain characters; white space and U+0085 part pieces.
 _PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\\s{_LETTER}{_NUMBER}]+")
-#: Plain: printable ASCII, usual white space, Latin letters and signs, dashes, quotes and dots; none composes with another.
-_STRANGE = re.compile("[^\\x20-\\x7e\\t\\n\\r\\u00a0-\\u012f\\u0132-\\u024f\\u2010-\\u2027\\u2030-\\u203e\\u20ac]")
+#: Plain: printable ASCII, usual white space, Latin letters and signs, dashes, quotes and dots; none composes with another,
+#: and small letters of plain ones are plain.
+_STRANGE = re.compile("[^\\x20-\\x7e\\t\\n\\r\\u00a0-\\u012f\\u0132-\\u017f\\u2010-\\u2027\\u2030-\\u203e\\u20ac]")
 _SPACE = re.compile("[ \\t\\n\\r]")
 
 
+def _byte_characters() -> list[str]:
+    """The character that stands for each byte: itself where it is a printable Latin-1 character (no space
+    and no soft hyphen), the others in order from U+0100 on."""
+    shown = {*range(0x21, 0x7f), *range(0xa1, 0xad), *range(0xae, 0x100)}
+    rest = iter(range(0x100, 0x200))
+    return [chr(b if b in shown else next(rest)) for b in range(256)]
+
+
+_BYTE = _byte_characters()
+
+
 class Encoder:
     """Ids of whole texts, as the library gives them for the file ``path``."""
 
@@ -83,16 +97,24 @@ class Encoder:
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True
         split = (rules.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
-        self.plain = rules.get("normalizer") == _NORMALIZER and split[0].get("pattern") == {"Regex": _SPLIT} and len(split) == 2
-        if self.plain:
-            self.piece = Tokenizer.from_str(json.dumps(rules | {"normalizer": None, "pre_tokenizer": split[1]}))
-            self.piece.encode_special_tokens = True
-        self.known: dict[str, list[int]] = {}
+        self.plain = rules.get("normalizer") == _NORMALIZER and split[0].get("pattern") == {"Regex": _SPLIT} and split[1:] == [_BYTES]
+        self.model = self.whole.model
+        self.known: dict[str, bytes] = {}          # the pieces met of late; those before them
+        self.older: dict[str, bytes] = {}
         self.remembered = remembered
         self.width = np.dtype("<u2" if self.whole.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
 
-    def ids(self, text: str) -> list[int]:
-        out: list[int] = []
+    def _bytes(self, ids: list[int]) -> bytes:
+        return array(self.width.char, ids).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        """The model alone, on the piece's bytes as the characters that stand for them."""
+        shown = piece if piece.isascii() else "".join(map(_BYTE.__getitem__, piece.encode("utf-8")))
+        return self._bytes([t.id for t in self.model.tokenize(shown)])
+
+    def encode(self, text: str) -> bytes:
+        """The ids as little-endian numbers of ``width``."""
+        out = []
         at = 0
         while at < len(text):
             end = len(text)
@@ -102,19 +124,28 @@ class Encoder:
             part = text[at:end]
             at = end
             if not self.plain or _STRANGE.search(part):
-                out += self.whole.encode(part, add_special_tokens=False).ids
+                out.append(self._bytes(self.whole.encode(part, add_special_tokens=False).ids))
                 continue
             pieces = _PIECE.findall(part.lower())
-            known = self.known
-            new = [p for p in set(pieces) if p not in known]
+            different = set(pieces)
+            new = different.difference(self.known)
             if new:
-                if len(known) + len(new) > self.remembered:
-                    known = self.known = {p: known[p] for p in set(pieces) if p in known}
-                for p, e in zip(new, self.piece.encode_batch(new, add_special_tokens=False)):
-                    known[p] = e.ids
-            for p in pieces:
-                out += known[p]
-        return out
+                if len(self.known) + len(new) > self.remembered // 2:
+                    self.older, self.known, new = self.known, {}, different
+                older = self.older
+                self.known.update((p, older[p] if p in older else self._piece(p)) for p in new)
+            out.append(b"".join(map(self.known.__getitem__, pieces)))
+        return b"".join(out)
+
+
+_made: dict[str, Encoder] = {}
+
+
+def _encoder(path: str) -> Encoder:
+    """One for each Python worker, kept across its tasks."""
+    if path not in _made:
+        _made[path] = Encoder(path)
+    return _made[path]
 
 
 def encoded(df: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id", end: int = END) -> DataFrame:
@@ -123,16 +154,17 @@ def encoded(df: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id"
     fields = StructType([StructField("n", LongType()), StructField("width", LongType()), StructField("ids", BinaryType())])
 
     def make() -> Callable:
-        encoder = Encoder(path)
+        encoder = _encoder(path)
 
         def run(texts: list) -> list[list]:
-            ids = [np.array([*encoder.ids(t or ""), end], dtype=encoder.width) for t in texts]
-            return [[len(x) for x in ids], [encoder.width.itemsize] * len(ids), [x.tobytes() for x in ids]]
+            mark, width = np.array([end], dtype=encoder.width).tobytes(), encoder.width.itemsize
+            ids = [encoder.encode(t or "") + mark for t in texts]
+            return [[len(x) // width for x in ids], [width] * len(ids), ids]
         return run
 
     rows = df.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     place = f"{ensure_checkpoint_dir(df.sparkSession)}/ids-{uuid.uuid4().hex}"
-    with_text_function(rows, "text", ["row", "doc_id"], fields, make).write.parquet(place)
+    with_text_function(rows, "text", ["row", "doc_id"], fields, make).write.option("parquet.block.size", ROW_GROUP).parquet(place)
     return df.sparkSession.read.parquet(place)
 
 

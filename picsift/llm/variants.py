@@ -45,20 +45,20 @@ CUT = 1 << 20
 #: Words whose prefixes are hashed at a time; rows emitted at once.
 WORDS, ROWS = 4096, 1 << 16
 
-_RUN = re.compile("[A-Za-zÀ-ÿ]+")
 _BREAK = re.compile("[^A-Za-zÀ-ÿ]")
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+_LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
-def runs(text: str | None) -> Iterator[list[str]]:
-    """The lower-cased runs of a text, those of about ``CUT`` characters at a time."""
+def runs(text: str | None, shortest: int = 1) -> Iterator[list[str]]:
+    """The lower-cased runs of a text of ``shortest`` characters or more, those of about ``CUT`` characters at a time."""
+    of = re.compile(f"[a-zÀ-ÿ]{{{shortest},}}")
     text, at = text or "", 0
     while at < len(text):
         end = len(text)
         if end - at > CUT:
             stop = _BREAK.search(text, at + CUT)
             end = stop.start() if stop else end
-        yield _RUN.findall(text[at:end].translate(_LOWER))
+        yield of.findall(text[at:end].encode("utf-8").translate(_LOWER).decode("utf-8"))
         at = end
 
 
@@ -84,7 +84,7 @@ def word_counts(df: DataFrame, text: str = "text", doc_id: str = "doc_id", short
                 total: Counter[str] = Counter()
                 for i, t in enumerate(texts, first):
                     prefix = zlib.crc32(f"{'' if ids[i] is None else ids[i]}:".encode())
-                    for part in runs(t):
+                    for part in runs(t, shortest):                # a run only gets shorter
                         for run, n in Counter(part).items():
                             word = word_of(prefix, run, every)
                             if len(word) >= shortest:
@@ -145,8 +145,8 @@ def trie_ways(words: DataFrame) -> DataFrame:
 
 
 def trie_edges(words: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """For words (number, word): the edge table (node, first, label, child, ends), where ``ends`` is the way that ends at the
-    child; the states (way, back, pos, node) that the words start in; and the number of levels."""
+    """For words (number, word): the edge table (node, first, label, child, after, ends), where ``after`` has the first
+    characters of the child's edges and ``ends`` is the way that ends at the child; the states (way, back, pos, node) that the words start in; and the number of levels."""
     ways = stored(trie_ways(words))
     # nodes where ways part, and nodes that some word ends or starts at while others go on
     kept = stored(ways.groupBy("node").agg(F.min("next").alias("least"), F.max("next").alias("most"), F.min("kind").alias("kind"))
@@ -162,16 +162,18 @@ def trie_edges(words: DataFrame) -> tuple[DataFrame, DataFrame, int]:
         s["node"].alias("node"), F.get("steps", i + 1)["node"].alias("child"),
         F.substring("way", s["t"] + 1, F.get("steps", i + 1)["t"] - s["t"]).alias("label"),
         F.when(i == F.size("steps") - 2, F.col("way")).alias("ends")))
-    edges = (paths.select(F.explode(pairs).alias("e")).select("e.*")
-             .groupBy("node", "child", "label").agg(F.max("ends").alias("ends")))
+    edges = stored(paths.select(F.explode(pairs).alias("e")).select("e.*").groupBy("node", "child", "label").agg(F.max("ends").alias("ends"))
+                   .withColumn("first", F.substring("label", 1, 1)))
+    after = edges.groupBy(F.col("node").alias("child")).agg(F.array_join(F.collect_set("first"), "").alias("after"))     # of one alphabet
+    edges = edges.join(after, "child", "left")
     begin = F.get("steps", F.lit(0))
-    return (edges.select("node", F.substring("label", 1, 1).alias("first"), "label", "child", "ends"),
+    return (edges.select("node", "first", "label", "child", "after", "ends"),
             paths.select("way", "back", begin["t"].alias("pos"), begin["node"].alias("node")), levels - 1)
 
 
 def _one_step(states: DataFrame, edges: DataFrame) -> DataFrame:
     """The states that follow, each at the child of an edge."""
-    e = edges.select(F.col("node").alias("at"), "first", "label", "child", "ends")
+    e = edges.select(F.col("node").alias("at"), "first", "label", "child", "after", "ends")
     s = states.select("way", "back", "pos", "node", "edits", F.substring("way", F.col("pos") + 1, F.lit(1)).alias("char"))
     rows = s.join(e, (F.col("node") == F.col("at")) & ((F.col("edits") == 0) | (F.col("char") == F.col("first"))))
     m, rest = F.length("label"), F.length("way") - F.col("pos")
@@ -181,10 +183,14 @@ def _one_step(states: DataFrame, edges: DataFrame) -> DataFrame:
     one = F.when(m == 1, F.lit(True)).otherwise(F.levenshtein(seg, F.col("label"), 1) == 1)
     replaced = open_ & (rest >= m) & (F.col("label") > seg) & one
     # the last character of a run of equal ones is the one that is deleted: the first label without it follows
-    deleted = open_ & (rest > m) & (F.levenshtein(F.substring("way", F.col("pos") + 1, m + 1), F.col("label"), 1) == 1)
+    without = F.when(m == 1, F.substring("way", F.col("pos") + 2, F.lit(1)) == F.col("label")).otherwise(
+        F.levenshtein(F.substring("way", F.col("pos") + 1, m + 1), F.col("label"), 1) == 1)
+    deleted = open_ & (rest > m) & without
 
     def to(cond: Column, moved: Column, edits: Column) -> Column:
-        return F.when(cond, F.struct((F.col("pos") + moved).cast("int").alias("pos"), edits.cast("int").alias("edits")))
+        # a state with its edit spent lives if it has found a word, or if an edge goes on with its next character
+        on = F.when(moved == rest, F.col("ends").isNotNull()).otherwise(F.instr(F.col("after"), F.substring("way", F.col("pos") + moved + 1, F.lit(1))) > 0)
+        return F.when(cond & ((edits == 0) | on), F.struct((F.col("pos") + moved).cast("int").alias("pos"), edits.cast("int").alias("edits")))
 
     outcomes = F.array_compact(F.array(to(same, m, F.col("edits")), to(replaced, m, F.lit(1)), to(deleted, m + 1, F.lit(1))))
     return (rows.select("way", "back", F.explode(outcomes).alias("o"), "child", "ends")

@@ -214,7 +214,7 @@ def q_layout_chains(spark: SparkSession, sf: str) -> DataFrame:
     with each other's copy numbers (``a``, ``a_2``, ``a_2_2``, ``a_3``, ...)."""
     cur = stages.current(spark, sf)
     name = F.concat(F.element_at(F.array(*map(F.lit, ("a", "a", "a", "a_2", "a_3", "a_2_2", "a_5", "b", "b_2", "a_99999999999999999999"))),
-                                 (F.pmod(F.crc32("path"), F.lit(10)) + 1).cast("int")), F.lit(".jpg"))
+                                 ((F.ascii(F.substring(F.md5("path"), 1, 1)) + 7 * F.ascii(F.substring(F.md5("path"), 2, 1))) % 10 + 1)), F.lit(".jpg"))
     moved = cur.withColumn("path", F.concat(F.col("path"), F.lit("/"), name)).withColumn("date_taken", F.lit("2018-06-01T00:00:00"))
     return layout.place_files(cut_lineage(moved)).select("path", "new_path")
 
@@ -264,7 +264,7 @@ def _toy_embedder():
     def fn(pdf):
         if (pdf["vec_id"] % 17 == 0).any():
             raise ValueError("bad input")
-        return np.array([list(v)[:4] for v in pdf["embedding"]], dtype=np.float64)
+        return np.array([list(v) for v in pdf["embedding"]], dtype=np.float64)
     return fn
 
 
@@ -283,8 +283,11 @@ def q_detections(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_embed_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    """An embedder in mini-batches, unit vectors, failing rows isolated."""
-    return _embedded(spark, sf).select("vec_id", F.size("vec").alias("dims"), F.round(F.col("vec")[0], 6).alias("v0"), "error")
+    """An embedder in mini-batches, unit vectors, failing rows isolated.  ``digest`` weighs every component by its place."""
+    weighted = F.transform("vec", lambda x, i: x * (i + 1))
+    digest = F.aggregate(weighted, F.lit(0.0), lambda s, x: s + x)
+    return _embedded(spark, sf).select("vec_id", F.size("vec").alias("dims"), F.round(F.col("vec")[0], 6).alias("v0"),
+                                       F.round(digest, 6).alias("digest"), "error")
 
 
 def q_inference_counters(spark: SparkSession, sf: str) -> DataFrame:

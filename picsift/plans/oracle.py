@@ -232,28 +232,9 @@ FACES_M3 = FACES.replace("MIN_SAMPLES", "3")
 FACES = FACES.replace("MIN_SAMPLES", "2")
 
 
-LAYOUT = r"""
-lay0 AS (
-  SELECT c.*,
-         CASE WHEN length(date_taken) >= 7 AND regexp_matches(substr(date_taken, 1, 7), '^[0-9]+-[0-9]+$')
-              THEN regexp_extract(substr(date_taken, 1, 7), '^([0-9]+)-([0-9]+)$', 1) ELSE 'unknown' END AS year,
-         CASE WHEN length(date_taken) >= 7 AND regexp_matches(substr(date_taken, 1, 7), '^[0-9]+-[0-9]+$')
-              THEN regexp_extract(substr(date_taken, 1, 7), '^([0-9]+)-([0-9]+)$', 2) ELSE '' END AS month,
-         regexp_extract(path, '[^/]*$') AS name
-  FROM cur c WHERE status = 'ok'
-),
-lay1 AS (
-  SELECT *, 'output/by_date/' || CASE WHEN year = 'unknown' THEN 'unknown' ELSE year || '/' || month END AS dst_dir
-  FROM lay0
-),
-lay2 AS (SELECT *, row_number() OVER (PARTITION BY dst_dir, name ORDER BY path) AS rn FROM lay1),
-layout AS (
-  SELECT *, dst_dir || '/' || CASE WHEN rn = 1 THEN name
-         ELSE regexp_replace(name, '\.[^.]+$', '') || '_' || CAST(rn AS VARCHAR) || regexp_extract(name, '^.+(\.[^.]+)$', 1) END
-         AS new_path
-  FROM lay2
-),
-lnk0 AS (
+def _links(p: str, layout: str) -> str:
+    """CTEs that end in ``<p>links``: the view links of the placed files ``layout``."""
+    return r"""lnk0 AS (
   SELECT 'by_category' AS view,
          CASE WHEN category IS NULL OR category = '' THEN 'uncategorized'
               ELSE substr(translate(regexp_replace(category, '^\s+|\s+$', '', 'g'), '/\: ', '____'), 1, 64) END AS key,
@@ -278,7 +259,31 @@ lnk1 AS (SELECT *, 'output/' || view || '/' || key || '/' || regexp_extract(new_
 links AS (
   SELECT view, key, link, path, new_path AS target FROM (
     SELECT *, row_number() OVER (PARTITION BY view, key, link ORDER BY path) AS rn FROM lnk1) WHERE rn = 1
+)""".replace("lnk0", p + "lnk0").replace("lnk1", p + "lnk1").replace("links AS", p + "links AS").replace("FROM layout", "FROM " + layout)
+
+
+LAYOUT = r"""
+lay0 AS (
+  SELECT c.*,
+         CASE WHEN length(date_taken) >= 7 AND regexp_matches(substr(date_taken, 1, 7), '^[0-9]+-[0-9]+$')
+              THEN regexp_extract(substr(date_taken, 1, 7), '^([0-9]+)-([0-9]+)$', 1) ELSE 'unknown' END AS year,
+         CASE WHEN length(date_taken) >= 7 AND regexp_matches(substr(date_taken, 1, 7), '^[0-9]+-[0-9]+$')
+              THEN regexp_extract(substr(date_taken, 1, 7), '^([0-9]+)-([0-9]+)$', 2) ELSE '' END AS month,
+         regexp_extract(path, '[^/]*$') AS name
+  FROM cur c WHERE status = 'ok'
 ),
+lay1 AS (
+  SELECT *, 'output/by_date/' || CASE WHEN year = 'unknown' THEN 'unknown' ELSE year || '/' || month END AS dst_dir
+  FROM lay0
+),
+lay2 AS (SELECT *, row_number() OVER (PARTITION BY dst_dir, name ORDER BY path) AS rn FROM lay1),
+layout AS (
+  SELECT *, dst_dir || '/' || CASE WHEN rn = 1 THEN name
+         ELSE regexp_replace(name, '\.[^.]+$', '') || '_' || CAST(rn AS VARCHAR) || regexp_extract(name, '^.+(\.[^.]+)$', 1) END
+         AS new_path
+  FROM lay2
+),
+""" + _links("", "layout") + r""",
 rg_size AS (SELECT face_cluster_id, count(*) AS n FROM layout WHERE face_cluster_id >= 0 GROUP BY face_cluster_id),
 regroup AS (
   SELECT path, cid AS face_cluster_id,
@@ -288,6 +293,17 @@ regroup AS (
 )"""
 
 
+RERUN = r"""
+here AS (SELECT * FROM lay1 WHERE doc_id % 7 <> 3),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY dst_dir, name ORDER BY path)
+            + CASE WHEN name LIKE 'IMG_0001.%' THEN 1 ELSE 0 END AS k FROM here),
+relayout AS (
+  SELECT *, dst_dir || '/' || CASE WHEN k = 1 THEN name
+         ELSE regexp_replace(name, '\.[^.]+$', '') || '_' || CAST(k AS VARCHAR) || regexp_extract(name, '^.+(\.[^.]+)$', 1) END AS new_path
+  FROM numbered)"""
+
+
 DETECTED = """
 , raw_boxes AS (
   SELECT path, 0 AS face_ord, -3.7 + doc_id % 7 AS x1, 2.5 AS y1, width * 0.5 AS x2, height + 10.0 AS y2, CAST(0.9 AS DOUBLE) AS conf, width, height, doc_id FROM assets
@@ -404,17 +420,27 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT regexp_replace(path, '^/recovered/', '/later/'), status, width, height, date_taken, sha256
         FROM scan WHERE doc_id % 9 = 0 AND status = 'ok'"""),
-    "layout_rerun": _with(ASSETS, LAYOUT, body=r"""
-        , here AS (SELECT * FROM lay1 WHERE doc_id % 7 <> 3),
-        numbered AS (
-          SELECT *, row_number() OVER (PARTITION BY dst_dir, name ORDER BY path)
-                    + CASE WHEN name LIKE 'IMG_0001.%' THEN 1 ELSE 0 END AS k FROM here)
-        SELECT path, dst_dir || '/' || CASE WHEN k = 1 THEN name
-               ELSE regexp_replace(name, '\.[^.]+$', '') || '_' || CAST(k AS VARCHAR) || regexp_extract(name, '^.+(\.[^.]+)$', 1) END AS new_path
-        FROM numbered"""),
-    "layout_rerun_stats": _with(ASSETS, LAYOUT, body="""
+    "layout_rerun": _with(ASSETS, LAYOUT, RERUN, body="SELECT path, new_path FROM relayout"),
+    "layout_rerun_stats": _with(ASSETS, LAYOUT, RERUN, _links("re_", "relayout"), body="""
         SELECT (SELECT count(*) FROM lay1 WHERE doc_id % 7 <> 3) AS moved, (SELECT count(*) FROM lay1 WHERE doc_id % 7 = 3) AS skipped,
-               CAST(0 AS BIGINT) AS links"""),
+               (SELECT count(*) FROM re_links) AS links"""),
+    # one file after the other in path order: its name, or the first number that no file before it took
+    "layout_chains": _with(ASSETS, body="""
+        , named AS (
+          SELECT path || '/' || nm || '.jpg' AS path, nm, row_number() OVER (ORDER BY path || '/' || nm || '.jpg') AS i
+          FROM (SELECT path, (['a', 'a', 'a', 'a_2', 'a_3', 'a_2_2', 'a_5', 'b', 'b_2', 'a_99999999999999999999'])
+                             [(ascii(substr(md5(path), 1, 1)) + 7 * ascii(substr(md5(path), 2, 1))) % 10 + 1] AS nm
+                FROM cur WHERE status = 'ok')),
+        step AS (
+          SELECT CAST(0 AS BIGINT) AS i, CAST(NULL AS VARCHAR) AS path, CAST(NULL AS VARCHAR) AS got, CAST([] AS VARCHAR[]) AS taken
+          UNION ALL
+          SELECT i, path, got, list_append(taken, got) AS taken FROM (
+            SELECT n.i, n.path, s.taken,
+                   CASE WHEN NOT list_contains(s.taken, n.nm) THEN n.nm
+                        ELSE list_filter(list_transform(range(2, len(s.taken) + 3), lambda k: n.nm || '_' || CAST(k AS VARCHAR)),
+                                         lambda x: NOT list_contains(s.taken, x))[1] END AS got
+            FROM step s JOIN named n ON n.i = s.i + 1))
+        SELECT path, 'output/by_date/2018/06/' || got || '.jpg' AS new_path FROM step WHERE i > 0"""),
     "effective_paths": _with(ASSETS, body="""
         SELECT path, CASE WHEN doc_id % 3 <> 0 AND doc_id % 2 = 0 THEN 'output/by_date/' || CAST(doc_id AS VARCHAR) || '.jpg' ELSE path END AS read_path
         FROM assets"""),
@@ -430,9 +456,13 @@ ORACLE: dict[str, str] = {
     "detections": _with(ASSETS, body=DETECTED + """
         SELECT path, face_ord, x1, y1, x2, y2, conf, error FROM detected"""),
     "embed_vectors": """
-        SELECT vec_id, CASE WHEN vec_id % 17 <> 0 THEN 4 END AS dims,
-               CASE WHEN vec_id % 17 <> 0 THEN round(CAST(embedding[1] AS DOUBLE) / sqrt(list_sum(list_transform(embedding[1:4], lambda x: CAST(x AS DOUBLE) * x))), 6) END AS v0,
-               CASE WHEN vec_id % 17 = 0 THEN 'ValueError: bad input' END AS error FROM embeddings""",
+        WITH unit AS (
+          SELECT vec_id, len(embedding) AS dims, sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x))) AS norm,
+                 list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings)
+        SELECT vec_id, CASE WHEN vec_id % 17 <> 0 THEN CAST(dims AS INTEGER) END AS dims,
+               CASE WHEN vec_id % 17 <> 0 THEN round(v[1] / norm, 6) END AS v0,
+               CASE WHEN vec_id % 17 <> 0 THEN round(list_sum(list_transform(v, lambda x, i: x / norm * i)), 6) END AS digest,
+               CASE WHEN vec_id % 17 = 0 THEN 'ValueError: bad input' END AS error FROM unit""",
     "inference_counters": _with(ASSETS, body=DETECTED + """
         SELECT (SELECT count(error) FROM detected) AS detector_errors,
                (SELECT count(DISTINCT path) FROM detected WHERE face_ord IS NOT NULL) AS images_with_faces,

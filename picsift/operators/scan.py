@@ -7,7 +7,7 @@ Input: one row per listed file with ``path``, ``decode_ok``, ``width``,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.exif import camera_make, camera_model, capture_date
 from ..params import CORRUPT, DEFAULT, OK, TINY, Params
@@ -38,11 +38,12 @@ def scan_status(files: DataFrame, p: Params = DEFAULT, keep: tuple = ()) -> Data
     )
 
 
-def scan_counters(images: DataFrame) -> DataFrame:
+def scan_totals() -> list[Column]:
+    """The counters as aggregates over ``status``; they also fit ``observe`` on the rows of a scan."""
     s = F.col("status")
-    return images.agg(
-        F.count(F.lit(1)).alias("files_found"),
-        F.count_if(s == OK).alias("ok"),
-        F.count_if(s == TINY).alias("tiny"),
-        F.count_if(s == CORRUPT).alias("corrupt"),
-    )
+    return [F.count(F.lit(1)).alias("files_found"), F.count_if(s == OK).alias("ok"),
+            F.count_if(s == TINY).alias("tiny"), F.count_if(s == CORRUPT).alias("corrupt")]
+
+
+def scan_counters(images: DataFrame) -> DataFrame:
+    return images.agg(*scan_totals())

@@ -169,6 +169,21 @@ def q_cluster_sizes(spark: SparkSession, sf: str) -> DataFrame:
     return people.cluster_sizes(stages.face_labels(spark, sf))
 
 
+def q_labelled_images(spark: SparkSession, sf: str) -> DataFrame:
+    """Q1: every file after phases 1-4, each phase on what the ones before decided."""
+    return stages.labelled(spark, sf).select("path", "status", "category", "face_cluster_id")
+
+
+def q_labelled_views(spark: SparkSession, sf: str) -> DataFrame:
+    """The view links of phase 5 over the scored categories and clustered persons."""
+    return layout.view_links(cut_lineage(layout.place_files(cut_lineage(stages.labelled(spark, sf)))))
+
+
+def q_labelled_categories(spark: SparkSession, sf: str) -> DataFrame:
+    """A16 over the scored categories."""
+    return reports.category_distribution(stages.labelled(spark, sf))
+
+
 def q_regroup_stats(spark: SparkSession, sf: str) -> DataFrame:
     cur, placed = cut_lineage(stages.current(spark, sf)), cut_lineage(stages.placed(spark, sf))
     return people.regroup_stats(people.regroup(cur, placed), cur, placed)
@@ -325,6 +340,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_merge": q_upsert_merge,
     "unscanned": q_unscanned,
     "cluster_sizes": q_cluster_sizes,
+    "labelled_images": q_labelled_images,
+    "labelled_views": q_labelled_views,
+    "labelled_categories": q_labelled_categories,
     "regroup_stats": q_regroup_stats,
     "first_survivors": q_first_survivors,
     "pipeline_status": q_pipeline_status,

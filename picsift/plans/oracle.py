@@ -293,6 +293,19 @@ regroup AS (
 )"""
 
 
+LABELLED = r"""
+file_label AS (
+  SELECT path, category FROM (
+    SELECT v.path, l.label AS category, row_number() OVER (PARTITION BY v.path ORDER BY list_dot_product(v.vec, l.vec) DESC, l.label_idx) AS rn
+    FROM vectors v JOIN chained c ON c.path = v.path AND c.status = 'ok' CROSS JOIN labels_vec l) WHERE rn = 1
+),
+labelled AS (
+  SELECT c.path, c.doc_id, n.status, c.width, c.height, c.date_taken, c.camera_make, c.camera_model, c.sha256, z.category,
+         coalesce(p.cluster_id, -1) AS face_cluster_id
+  FROM cur c JOIN chained n ON n.path = c.path LEFT JOIN file_label z ON z.path = c.path LEFT JOIN persons p ON p.img = c.doc_id
+)"""
+
+
 RERUN = r"""
 here AS (SELECT * FROM lay1 WHERE doc_id % 7 <> 3),
 numbered AS (
@@ -472,6 +485,11 @@ ORACLE: dict[str, str] = {
         SELECT path FROM cur WHERE status = 'ok'
           AND path NOT IN (SELECT path FROM cur WHERE status = 'ok' AND date_taken < '1998')"""),
     "cluster_sizes": _with(FACES, body="SELECT cluster, n AS images FROM pc_size"),
+    "labelled_images": _with(ASSETS, CHAIN, EMB, FACES, LABELLED, body="SELECT path, status, category, face_cluster_id FROM labelled"),
+    "labelled_views": _with(ASSETS, CHAIN, EMB, FACES, LABELLED, LAYOUT.replace("FROM cur c WHERE", "FROM labelled c WHERE"),
+                            body="SELECT view, key, link, path, target FROM links"),
+    "labelled_categories": _with(ASSETS, CHAIN, EMB, FACES, LABELLED, body="""
+        SELECT category, count(*) AS cnt FROM labelled WHERE status = 'ok' GROUP BY category"""),
     "regroup_stats": _with(ASSETS, LAYOUT, body="""
         SELECT (SELECT count(*) FROM rg_size) AS clusters_found,
                (SELECT count(*) FROM rg_size WHERE n >= 10) AS clusters_kept,

@@ -2,7 +2,8 @@
 
 Every phase is a pure function from stage tables to a decision table;
 writing it (``apply``) is a separate step, so a dry run is simply "compute,
-do not write" (Q3).  Re-running a phase loses nothing (Q4): a re-scan is merged into the
+do not write" (Q3): the tables that a phase decides are handed to the later phases unwritten
+(``Preview``).  Counters are observed on the rows as they are written, by the same job (A3-A6, A12).  Re-running a phase loses nothing (Q4): a re-scan is merged into the
 ``images`` table by path, so files that are gone keep their row; images that can no longer be
 scored keep their category; files that were moved to their place keep it.  A limited trial
 run of phase 3 writes under ``<tables_dir>/trial`` and leaves the full tables alone.
@@ -28,7 +29,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..functions.bits import dhash
 from ..operators import infer, layout, people
@@ -36,7 +37,7 @@ from ..operators.dbscan import dbscan
 from ..operators.exact import exact_duplicates
 from ..operators.near import near_duplicates
 from ..operators.ranking import global_index
-from ..operators.scan import scan_status
+from ..operators.scan import scan_status, scan_totals
 from ..operators.prefilter import keep_probable
 from ..operators.status import current_images, effective_path
 from ..operators.upsert import scan_provided, upsert
@@ -71,9 +72,50 @@ SCHEMAS = {
 }
 
 
-def read(spark: SparkSession, tables_dir: str, name: str) -> DataFrame | None:
+class Preview:
+    """The stage tables of a dry run: those decided so far, kept in the checkpoint folder,
+    stand before the stored ones of ``tables_dir``, which stay as they are."""
+
+    def __init__(self, tables_dir: str):
+        self.tables_dir = tables_dir
+        self.decided: dict[str, DataFrame] = {}
+
+
+Tables = str | Preview
+
+
+class Results(dict):
+    """What a run decided, by table, and in ``counters`` the totals of each table."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.counters: dict[str, dict[str, int]] = {}
+
+
+def totals_of(name: str) -> list[Column]:
+    """The counters of a stage table as aggregates over its rows (``images``: of the rows scanned now)."""
+    rows = F.count(F.lit(1))
+    kept = {"exact_dups": "groups", "near_dups": "confirmed_groups"}
+    if name == "images":
+        return scan_totals()
+    if name in kept:
+        return [F.count_if(F.col("is_keeper")).alias(kept[name]), F.count_if(~F.col("is_keeper")).alias("removed")]
+    if name == "embeddings":
+        return [F.count("vec").alias("embeddings"), F.count("error").alias("embed_errors")]
+    return [rows.alias({"layout": "moved", "links": "links"}.get(name, "rows"))]
+
+#: Tables that are written partitioned, and by what.
+PARTITIONED = {"layout": ["year", "month"], "links": ["view"]}
+
+
+def read(spark: SparkSession, tables_dir: Tables, name: str) -> DataFrame | None:
     """A stage table, None when its stage has not run yet.  Any other failure
     to read it is raised.  ``images`` is brought to the declared schema (S12)."""
+    if isinstance(tables_dir, Preview):
+        if name in tables_dir.decided:
+            df = tables_dir.decided[name]
+            return conform(df, SCANNED) if name == "images" else df
+        tables_dir = tables_dir.tables_dir
     reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
     try:
         df = reader.parquet(_t(tables_dir, name))
@@ -98,7 +140,7 @@ def apply_view(links: DataFrame, tables_dir: str, name: str = "links") -> None:
           .partitionBy("view").parquet(_t(tables_dir, name)))
 
 
-def current(spark: SparkSession, tables_dir: str, upto: int = 6) -> DataFrame:
+def current(spark: SparkSession, tables_dir: Tables, upto: int = 6) -> DataFrame:
     """The ``images`` view: scan rows with the statuses and values of the
     phases *before* ``upto`` (exact dups from 3 on, near dups from 4 on,
     categories and person clusters from 5 on, layout from 6 on).  A phase
@@ -129,11 +171,13 @@ SCANNED = scan_schema()
 
 
 def phase1(spark: SparkSession, source: str, p: Params = DEFAULT, models: Models = Models(),
-           exclude: str | None = None, tables_dir: str | None = None) -> DataFrame:
+           exclude: str | None = None, tables_dir: Tables | None = None, seen: Observation | None = None) -> DataFrame:
     """Scan decisions; with ``tables_dir`` merged into the stored ones (S7):
     a row sets only the columns its status provides, files that are gone keep
-    their row."""
+    their row.  ``seen`` gets the counters of this scan."""
     rows = scan_status(files.scan_input(spark, source, models.tag_reader, exclude, pixel_stats=p.check_brightness), p)
+    if seen is not None:
+        rows = rows.observe(seen, *totals_of("images"))
     stored = read(spark, tables_dir, "images") if tables_dir else None
     if stored is None:
         return rows
@@ -157,11 +201,11 @@ def output_listing(spark: SparkSession, p: Params) -> DataFrame | None:
     return listed.select(_as_placed(F.col("path"), p).alias("path"))
 
 
-def phase2(spark: SparkSession, tables_dir: str) -> DataFrame:
+def phase2(spark: SparkSession, tables_dir: Tables) -> DataFrame:
     return exact_duplicates(current(spark, tables_dir, upto=2))
 
 
-def _survivors(spark: SparkSession, tables_dir: str, upto: int, limit: int | None = None) -> DataFrame:
+def _survivors(spark: SparkSession, tables_dir: Tables, upto: int, limit: int | None = None) -> DataFrame:
     ok = current(spark, tables_dir, upto).filter(F.col("status") == OK)
     return ok.orderBy("path").limit(limit) if limit else ok          # L3 / Q5: the first N survivors
 
@@ -178,7 +222,7 @@ def _as_placed(path: Column, p: Params) -> Column:
     return path if full is None else F.concat(F.lit(root), F.substring(path, len(full) + 1, 1 << 20))
 
 
-def _readable(spark: SparkSession, tables_dir: str, p: Params, wanted: DataFrame) -> DataFrame:
+def _readable(spark: SparkSession, tables_dir: Tables, p: Params, wanted: DataFrame) -> DataFrame:
     """(path, read_path) of ``wanted`` (path): where each file is now."""
     placed, moved = read(spark, tables_dir, "layout"), output_listing(spark, p)
     if placed is None or moved is None:
@@ -214,7 +258,7 @@ def _with_earlier(new: DataFrame, earlier: DataFrame | None) -> DataFrame:
     return cut_lineage(new.unionByName(earlier.select(*new.columns).join(new.select("path"), "path", "left_anti")))
 
 
-def phase3(spark: SparkSession, source: str, tables_dir: str, models: Models, p: Params = DEFAULT,
+def phase3(spark: SparkSession, source: str, tables_dir: Tables, models: Models, p: Params = DEFAULT,
            limit: int | None = None) -> dict[str, DataFrame]:
     ok = cut_lineage(_survivors(spark, tables_dir, 3, limit).select("path", "width", "height", "date_taken"))
     readable = _readable(spark, tables_dir, p, ok)
@@ -247,7 +291,7 @@ def phase3(spark: SparkSession, source: str, tables_dir: str, models: Models, p:
     return out
 
 
-def phase4(spark: SparkSession, source: str, tables_dir: str, models: Models, p: Params = DEFAULT,
+def phase4(spark: SparkSession, source: str, tables_dir: Tables, models: Models, p: Params = DEFAULT,
            limit: int | None = None) -> dict[str, DataFrame]:
     out = {}
     emb = read(spark, tables_dir, "embeddings")
@@ -304,12 +348,14 @@ def phase4(spark: SparkSession, source: str, tables_dir: str, models: Models, p:
     return out
 
 
-def phase5(spark: SparkSession, source: str, tables_dir: str, p: Params = DEFAULT) -> dict[str, DataFrame]:
+def phase5(spark: SparkSession, source: str, tables_dir: Tables, p: Params = DEFAULT,
+           seen: Observation | None = None) -> dict[str, DataFrame]:
     """Places survivors that are still at their source; an image whose source
     is gone, or whose place is taken by its file, keeps its earlier place.
-    Names in the output tree and kept places are taken."""
+    Names in the output tree and kept places are taken.  ``seen`` gets the number of survivors."""
     cols = ["path", "dst_dir", "new_path", "year", "month"]
-    cur = cut_lineage(current(spark, tables_dir, 5))
+    cur = current(spark, tables_dir, 5)
+    cur = cut_lineage(cur if seen is None else cur.observe(seen, F.count_if(F.col("status") == OK).alias("survivors")))
     here = files.list_files(spark, source).select("path")
     there, earlier = output_listing(spark, p), read(spark, tables_dir, "layout")
     taken, kept = there, None
@@ -334,34 +380,43 @@ def phase5(spark: SparkSession, source: str, tables_dir: str, p: Params = DEFAUL
 
 
 def run(spark: SparkSession, source: str, tables_dir: str, models: Models = Models(), p: Params = DEFAULT,
-        phases: tuple = (1, 2, 3, 4, 5), dry_run: bool = False, limit: int | None = None) -> dict[str, DataFrame]:
-    """Q1-Q5: run the phases in order; each phase reads the tables written by
-    the phases before it.  ``dry_run`` stops after computing phase outputs
-    that later phases do not depend on and never writes."""
-    results: dict[str, DataFrame] = {}
+        phases: tuple = (1, 2, 3, 4, 5), dry_run: bool = False, limit: int | None = None) -> Results:
+    """Q1-Q5: run the phases in order; each phase reads the tables of
+    the phases before it.  ``dry_run`` previews them: later phases see what earlier ones decided, and no stage
+    table is written.  ``counters`` of the result has the totals of each table, observed on the rows it was made of."""
+    results = Results()
+    tables: Tables = Preview(tables_dir) if dry_run else tables_dir
     for ph in phases:
+        seen = Observation()
         if ph == 1:
             outside = os.path.isabs(p.output_root) or "://" in p.output_root
             root = p.output_root if outside else os.path.abspath(p.output_root)
-            outs = {"images": phase1(spark, source, p, models, exclude=root, tables_dir=tables_dir)}
+            outs = {"images": phase1(spark, source, p, models, exclude=root, tables_dir=tables, seen=seen)}
         elif ph == 2:
-            outs = {"exact_dups": phase2(spark, tables_dir)}
+            outs = {"exact_dups": phase2(spark, tables)}
         elif ph == 3:
-            outs = phase3(spark, source, tables_dir, models, p, limit)
+            outs = phase3(spark, source, tables, models, p, limit)
         elif ph == 4:
-            outs = phase4(spark, source, tables_dir, models, p, limit)
+            outs = phase4(spark, source, tables, models, p, limit)
         else:
-            outs = phase5(spark, source, tables_dir, p)
-        results.update(outs)
-        if dry_run:
-            if ph != phases[-1]:
-                raise ValueError("a dry run previews one phase at a time on the stored tables")
-            continue
+            outs = phase5(spark, source, tables, p, seen)
         # a trial run of phase 3 sees some survivors only: its tables stand apart
-        target = os.path.join(tables_dir, "trial") if limit and ph == 3 else tables_dir
+        trial = bool(limit) and ph == 3
         for name, df in outs.items():
-            parts = {"layout": ["year", "month"], "links": ["view"]}.get(name)
-            apply(df, target, name, parts)
+            counted = seen if name == "images" else Observation()
+            df = df if name == "images" else df.observe(counted, *totals_of(name))
+            parts = PARTITIONED.get(name)
+            if isinstance(tables, Preview):
+                # a partition of empty text is read back as null
+                outs[name] = df = cut_lineage(df.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in parts or []}))
+                if not trial:
+                    tables.decided[name] = df
+            else:
+                apply(df, os.path.join(tables, "trial") if trial else tables, name, parts)
+            results.counters[name] = counted.get
+        if ph == 5:
+            results.counters["layout"]["skipped"] = seen.get["survivors"] - results.counters["layout"]["moved"]
+        results.update(outs)
     return results
 
 

@@ -72,6 +72,21 @@ def chained(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
     return current_images(cur, near=near)
 
 
+def labelled(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
+    """Images after phases 1-4: the category of a survivor is that of its own vector, scored against the
+    label vectors; its person is the cluster of the faces found in it (image ``doc_id`` of the faces fixture)."""
+    from ..operators.people import person_clusters
+    from ..operators.zeroshot import zero_shot
+    cur = cut_lineage(chained(spark, sf_dir, p))
+    ok = cur.filter(F.col("status") == OK).select("path", (F.floor(F.col("doc_id") / 4) * 40 + F.col("doc_id") % 4).alias("asset_id"))
+    vecs = ok.join(fixtures.vectors_table(spark, sf_dir).select("asset_id", "vec"), "asset_id")
+    scored = zero_shot(vecs.select("asset_id", "vec"), fixtures.label_vectors(spark, sf_dir), "asset_id")
+    categories = vecs.select("asset_id", "path").join(scored.select("asset_id", "category"), "asset_id").select("path", "category")
+    persons = person_clusters(face_labels(spark, sf_dir, p), p).select(F.col("img").alias("doc_id"), F.col("cluster_id").alias("_person"))
+    return (cur.drop("category", "face_cluster_id").join(categories, "path", "left").join(persons, "doc_id", "left")
+            .withColumn("face_cluster_id", F.coalesce("_person", F.lit(-1)).cast("int")).drop("_person"))
+
+
 def rerun_layout(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> tuple[DataFrame, DataFrame]:
     """(images, placed): a layout run in which one file in seven is gone and every
     folder already holds an ``IMG_0001``."""

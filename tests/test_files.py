@@ -89,6 +89,56 @@ def test_dry_run_writes_nothing(spark):
     assert out["images"].count() == 7 and os.listdir(tables) == []
 
 
+def test_preview_of_all_phases_equals_a_run_and_writes_nothing(spark):
+    d = make_tree(tempfile.mkdtemp(prefix="picsift-img-"))
+    labels = spark.createDataFrame([(0, "people portrait", [1.0] * 48), (1, "food", [(-1.0) ** i for i in range(48)])],
+                                   "label_idx int, label string, vec array<double>")
+    models = pipeline.Models(make_image_embedder=toy_embedder, label_vectors=labels,
+                             make_face_detector=toy_detector, make_face_embedder=toy_embedder)
+    p = Params(output_root="out", face_min_cluster_size=1)
+    tables = tempfile.mkdtemp(prefix="picsift-tables-")
+
+    def rows(results):
+        return {name: sorted(map(repr, df.select(*sorted(df.columns)).collect())) for name, df in results.items()}
+
+    for _ in range(2):                                       # on no tables, and on those of an earlier run
+        def written():
+            return sorted((os.path.join(top, f), os.path.getmtime(os.path.join(top, f))) for top, _, names in os.walk(tables) for f in names)
+
+        before = written()
+        preview = pipeline.run(spark, d, tables, models, p, dry_run=True)
+        assert written() == before
+        previewed = rows(preview)
+        real = pipeline.run(spark, d, tables, models, p)
+        stored = {name: pipeline.read(spark, tables, name) for name in real}
+        assert previewed == rows({name: df.select(*real[name].columns) if name != "images" else df for name, df in
+                                  ((n, stored[n] if n != "images" else spark.read.parquet(os.path.join(tables, n))) for n in real)})
+        assert preview.counters == real.counters
+        with open(os.path.join(d, "later.jpg"), "wb") as f:
+            f.write(png(90, 90, seed=8))
+    assert len(previewed) == 12
+
+
+def test_counters_come_with_the_run(spark):
+    d = make_tree(tempfile.mkdtemp(prefix="picsift-img-"))
+    tables = tempfile.mkdtemp(prefix="picsift-tables-")
+    from picsift.operators.scan import scan_counters
+    models = pipeline.Models(make_image_embedder=toy_embedder)
+    p = Params(output_root="out")
+    got = pipeline.run(spark, d, tables, models, p, phases=(1, 2, 3, 5)).counters
+    assert got["images"] == scan_counters(pipeline.read(spark, tables, "images")).first().asDict()
+    assert got["exact_dups"] == {"groups": 1, "removed": 1} and got["near_dups"] == {"confirmed_groups": 1, "removed": 1}
+    assert got["layout"] == {"moved": 3, "skipped": 0} and got["links"]["links"] == pipeline.read(spark, tables, "links").count()
+    os.remove(os.path.join(d, "near.jpg"))
+    os.remove(os.path.join(d, "a.JPG"))
+    again = pipeline.run(spark, d, tables, models, p, phases=(1,)).counters["images"]
+    assert again["files_found"] == 5 and pipeline.read(spark, tables, "images").count() == 7      # of the files found now
+    fresh = tempfile.mkdtemp(prefix="picsift-tables-")
+    pipeline.run(spark, d, fresh, models, p, phases=(1, 2))
+    os.remove(os.path.join(d, "e.jpg"))
+    assert pipeline.run(spark, d, fresh, models, p, phases=(5,)).counters["layout"]["skipped"] == 1
+
+
 def test_luminance_grid_and_brightness(spark):
     d = make_tree(tempfile.mkdtemp(prefix="picsift-img-"))
     dec = files.decode_images(spark, d).filter(F.col("decode_ok"))

@@ -51,7 +51,7 @@ from .cutting import patterns
 #: The contract's values: ids of a sequence, the id after each document.
 SIZE, END = 4096, 2
 #: Classes of length; pieces of text whose ids are remembered; characters encoded at a time.
-CLASSES, REMEMBERED, PORTION = 256, 200_000, 1 << 14
+CLASSES, REMEMBERED, PORTION = 256, 400_000, 1 << 14
 #: Pieces that are cut at once; bytes of stored ids that a task holds before it writes them.
 PIECES, ROW_GROUP = 1024, 16 << 20
 
@@ -68,7 +68,7 @@ def _class_of(kind: str) -> str:
 
 _LETTER, _NUMBER = _class_of("L"), _class_of("N")
 #: The same pieces for plain characters; white space and U+0085 part pieces.
-_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\\s{_LETTER}{_NUMBER}]+")
+_PIECE = re.compile(f"[{_LETTER}]+|[{_NUMBER}]|'s|'t|'re|'ve|'m|'ll|'d|[^\\s{_LETTER}{_NUMBER}]+")
 #: Plain: printable ASCII, usual white space, Latin letters and signs, dashes, quotes and dots; none composes with another,
 #: and small letters of plain ones are plain.
 _STRANGE = re.compile("[^\\x20-\\x7e\\t\\n\\r\\u00a0-\\u012f\\u0132-\\u017f\\u2010-\\u2027\\u2030-\\u203e\\u20ac]")
@@ -86,6 +86,24 @@ def _byte_characters() -> list[str]:
 _BYTE = _byte_characters()
 
 
+class Known(dict):
+    """What ``make`` gave for each key, remembered for the ``most`` keys met of late at most."""
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.make, self.half, self.older = make, max(1, most // 2), {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.half:
+            self.older = self.copy()
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Encoder:
     """Ids of whole texts, as the library gives them for the file ``path``."""
 
@@ -99,9 +117,7 @@ class Encoder:
         split = (rules.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         self.plain = rules.get("normalizer") == _NORMALIZER and split[0].get("pattern") == {"Regex": _SPLIT} and split[1:] == [_BYTES]
         self.model = self.whole.model
-        self.known: dict[str, bytes] = {}          # the pieces met of late; those before them
-        self.older: dict[str, bytes] = {}
-        self.remembered = remembered
+        self.known = Known(self._piece, remembered)
         self.width = np.dtype("<u2" if self.whole.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
 
     def _bytes(self, ids: list[int]) -> bytes:
@@ -126,15 +142,7 @@ class Encoder:
             if not self.plain or _STRANGE.search(part):
                 out.append(self._bytes(self.whole.encode(part, add_special_tokens=False).ids))
                 continue
-            pieces = _PIECE.findall(part.lower())
-            different = set(pieces)
-            new = different.difference(self.known)
-            if new:
-                if len(self.known) + len(new) > self.remembered // 2:
-                    self.older, self.known, new = self.known, {}, different
-                older = self.older
-                self.known.update((p, older[p] if p in older else self._piece(p)) for p in new)
-            out.append(b"".join(map(self.known.__getitem__, pieces)))
+            out.append(b"".join(map(self.known.__getitem__, _PIECE.findall(part.lower()))))
         return b"".join(out)
 
 
@@ -288,13 +296,17 @@ def pack(df: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id", s
             which = np.repeat(np.arange(len(held)), held.value_lengths().to_numpy(zero_copy_only=False))
             start, length, sequence, offset = held.flatten().flatten()
             begin, long = start.to_numpy(), length.to_numpy()
-            row_of = pa.array(which)
+            row_of, wide = pa.array(which), width.to_numpy()
+            # where each row's ids begin in the batch's bytes
+            kind = np.dtype("<i8" if pa.types.is_large_binary(ids.type) else "<i4")
+            place = np.frombuffer(ids.buffers()[1], dtype=kind, count=len(ids) + 1, offset=kind.itemsize * ids.offset)[:-1].astype(np.int64) if len(ids) else which
+            data = ids.buffers()[2] if len(ids) else b""
             for first in range(0, len(which), PIECES):
                 here = slice(first, first + PIECES)
-                parts = []
-                for i, a, m in zip(which[here].tolist(), begin[here].tolist(), long[here].tolist()):
-                    w = width[i].as_py()
-                    parts.append(np.frombuffer(ids[i].as_buffer(), dtype=f"<u{w}", count=m, offset=a * w).astype("<u4").tobytes())
+                of = which[here]
+                at = place[of] + begin[here] * wide[of]
+                parts = [np.frombuffer(data, dtype=f"<u{w}", count=m, offset=a).astype("<u4").tobytes()
+                         for w, a, m in zip(wide[of].tolist(), at.tolist(), long[here].tolist())]
                 taken = row_of.slice(first, len(parts))
                 columns = [doc.take(taken), start.slice(first, len(parts)), length.slice(first, len(parts)), pa.array(parts, pa.binary()),
                            n.take(taken), sequence.slice(first, len(parts)), offset.slice(first, len(parts))]

@@ -1,19 +1,23 @@
 """Model plug-ins.
 
 Models are user functions; this module only distributes them.  A factory
-is called once per Python worker task (so weights load once per task, not
-per row) and then sees Arrow batches cut into mini-batches of
-``batch_size`` rows.  A failing batch is retried row by row so one bad
+is called once in a Python worker, which keeps its model for later tasks and jobs (at most
+``MODELS`` of them, the least recently used one goes), so weights load once per worker; the model
+sees Arrow batches cut into mini-batches of ``batch_size`` rows.  A failing batch is retried row by row so one bad
 file only costs its own row: its vector is NULL (it never pairs) and its
 ``error`` column says why.
 """
 
 from __future__ import annotations
 
+import hashlib
+import pickle
+from collections import OrderedDict
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
 # make_embedder() -> fn(pandas.DataFrame of input columns) -> np.ndarray (n, d)
@@ -21,6 +25,26 @@ EmbedderFactory = Callable[[], Callable[[pd.DataFrame], np.ndarray]]
 # make_detector() -> fn(pandas.DataFrame of input columns) -> for each row a list of (x1, y1, x2, y2, conf)
 DetectorFactory = Callable[[], Callable[[pd.DataFrame], list]]
 
+#: Models that a Python worker keeps.
+MODELS = 3
+_loaded: OrderedDict[str, Callable] = OrderedDict()
+
+
+class Shipped:
+    """A model factory as its bytes, by whose hash a worker knows the model it has made."""
+
+    def __init__(self, make: Callable[[], Callable]):
+        self.data = cloudpickle.dumps(make)
+        self.name = hashlib.sha256(self.data).hexdigest()
+
+    def model(self) -> Callable:
+        if self.name not in _loaded:
+            while len(_loaded) >= MODELS:
+                _loaded.popitem(last=False)
+            _loaded[self.name] = pickle.loads(self.data)()
+        _loaded.move_to_end(self.name)
+        return _loaded[self.name]
+
 
 def _unit_rows(m: np.ndarray) -> list:
     m = np.asarray(m, dtype=np.float64)
@@ -39,8 +63,10 @@ def embed(df: DataFrame, key: str, inputs: list[str], make_embedder: EmbedderFac
     schema = T.StructType([T.StructField(key, key_type), T.StructField(out, T.ArrayType(T.DoubleType())),
                            T.StructField("error", T.StringType())] + [df.schema[c] for c in carry])
 
+    shipped = Shipped(make_embedder)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fn = make_embedder()
+        fn = shipped.model()
         for pdf in batches:
             keys, vecs, errs = [], [], []
             extra = {c: [] for c in carry}
@@ -95,8 +121,10 @@ def detect(df: DataFrame, key: str, inputs: list[str], make_detector: DetectorFa
             raise ValueError(f"the detector returned {len(found)} results for {len(chunk)} images")
         return list(found)
 
+    shipped = Shipped(make_detector)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fn = make_detector()
+        fn = shipped.model()
         names = [key, "face_ord", "x1", "y1", "x2", "y2", "conf", "error", "crop", "crop_h", "crop_w", "n_channels"]
         for pdf in batches:
             out = []

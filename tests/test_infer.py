@@ -1,7 +1,12 @@
 """Model plug-in contracts: per-row error isolation, unit vectors, box rules."""
 
+import os
+import tempfile
+
 import numpy as np
+import pytest
 
+from picsift.operators import infer
 from picsift.operators.boxes import clip_boxes
 from picsift.operators.infer import detect, embed, inference_counters
 
@@ -44,3 +49,40 @@ def test_detect_and_clip(spark):
     fv = embed(spark.createDataFrame([(1, 1.0), (2, -1.0)], "k long, x double"), "k", ["x"], flaky_embedder)
     c = inference_counters(det, fv).collect()[0]
     assert (c.detector_errors, c.images_with_faces, c.embed_errors, c.embeddings) == (1, 1, 1, 1)
+
+
+def test_a_worker_loads_a_model_once(spark):
+    """Many tasks in several jobs: each worker loads the weights once, and another model is another load."""
+    log = tempfile.mkdtemp(prefix="picsift-loads-")
+
+    def factory(name):
+        def make():
+            with open(os.path.join(log, f"{name}-{os.getpid()}"), "a") as f:
+                f.write("x")
+            return lambda pdf: np.stack([pdf["x"].to_numpy(), np.ones(len(pdf))], axis=1)
+        return make
+
+    df = spark.range(240).selectExpr("id AS k", "id + 1D AS x").repartition(24)
+    for name in ("one", "other", "one"):
+        assert embed(df, "k", ["x"], factory(name)).filter("error IS NULL").count() == 240
+    for name in ("one", "other"):
+        files = [f for f in os.listdir(log) if f.startswith(name)]
+        assert 1 <= len(files) <= 8 and all(os.path.getsize(os.path.join(log, f)) == 1 for f in files)
+
+
+def test_a_worker_keeps_few_models(monkeypatch):
+    monkeypatch.setattr(infer, "_loaded", type(infer._loaded)())
+    shipped = [infer.Shipped(lambda i=i: lambda pdf: i) for i in range(infer.MODELS + 2)]
+    assert [s.model()(None) for s in shipped] == list(range(infer.MODELS + 2))
+    assert list(infer._loaded) == [s.name for s in shipped[2:]]
+    shipped[2].model()
+    shipped[0].model()
+    assert shipped[2].name in infer._loaded and shipped[3].name not in infer._loaded
+
+
+def test_a_failing_factory_is_raised(spark):
+    def make():
+        raise RuntimeError("no weights")
+
+    with pytest.raises(Exception, match="no weights"):
+        embed(spark.createDataFrame([(1, 1.0)], "k long, x double"), "k", ["x"], make).collect()

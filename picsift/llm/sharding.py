@@ -6,7 +6,8 @@ itself), and within the shard a bucket by another seeded hash; there are as many
 buckets as make one fit ``BUCKET_BYTES`` on average.  Pass 2 shuffles each bucket: its rows are
 ranked by id and text hash, and ``shuffle``, a seeded Fisher-Yates shuffle, of the
 ranks gives each row its place.  The shuffled ranks, a few bytes a row, are
-stored once, so a lost executor or a second reader sees the same order.  A
+stored once, so a lost executor or a second reader sees the same order, and the seeds alone fix it: the same
+rows get the same slots under any number of partitions, with adaptive execution or without.  A
 shard is its buckets one after the other; ``slot`` counts through it.
 
 The records pass one exchange, by (shard, bucket).  No task holds more than a bucket's
@@ -25,6 +26,8 @@ from .common import read, stored
 
 #: Average bytes of text in a bucket; seeds of the scatter and of the shuffle.
 BUCKET_BYTES, SCATTER_SEED, SHUFFLE_SEED = 16 << 20, 20, 21
+#: Tasks that shuffle buckets' ranks, at most.
+MAX_TASKS = 4096
 #: Shards of the registered query.
 SHARDS = 8
 
@@ -52,8 +55,11 @@ def external_shuffle(df: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id"
     counted = df.select(*place).groupBy("shard", "bucket").agg(F.count(F.lit(1)).cast("int").alias("n"))
     # one row for each bucket: its first slot and its shuffled ranks
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # the generator of ``shuffle`` starts anew in each partition: buckets are dealt by their number, so that the
+    # seed alone fixes the order, whatever the plan or the session's settings
+    number = (F.col("shard") * buckets + F.col("bucket")).cast("int")
     ranks = stored(counted.withColumn("first_slot", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long"))
-                   .sortWithinPartitions("shard", "bucket")
+                   .repartitionById(min(shards * buckets, MAX_TASKS), number).sortWithinPartitions("shard", "bucket")
                    .withColumn("ranks", F.shuffle(F.sequence(F.lit(0), F.col("n") - 1), SHUFFLE_SEED)))
     within = Window.partitionBy("shard", "bucket").orderBy("order_id", "order_text")
     rows = (df.select(F.struct(*(df[c] for c in df.columns)).alias("record"), *place,

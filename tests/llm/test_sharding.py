@@ -72,3 +72,24 @@ def test_plan_is_native(spark):
     with redirect_stdout(out):
         sharding.op2_sharding(spark, SF).explain("formatted")
     assert "Python" not in out.getvalue() and "InPandas" not in out.getvalue()
+
+
+def test_the_seed_alone_fixes_the_order(spark):
+    """The same slots under any number of partitions, with adaptive execution or without, however the rows come."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+
+    def slots(df, partitions, adaptive):
+        before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+        try:
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+            rows = sharding.external_shuffle(df, 3, bucket_bytes=50_000).select("record.doc_id", "shard", "slot").collect()
+        finally:
+            for k, v in before.items():
+                spark.conf.set(k, v)
+        return {r.doc_id: (r.shard, r.slot) for r in rows}
+
+    first = slots(docs, "4", "true")
+    assert len(first) == docs.count()
+    assert slots(docs, "4", "false") == first and slots(docs, "7", "false") == first
+    assert slots(docs.repartition(5).orderBy("doc_id", ascending=False), "3", "true") == first

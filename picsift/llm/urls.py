@@ -32,6 +32,8 @@ RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com
 DEFAULT = "allow"
 #: States of all globs together, at most (2 x 32 MB of masks).
 MAX_BITS = 1 << 20
+#: Words of state (URLs x words of the masks) that a task holds at a time, 16 MB an array.
+SLICE_WORDS = 1 << 21
 
 
 def host_of(url: Column) -> Column:
@@ -138,7 +140,8 @@ def judge(df: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, url: str =
         machine, out = sent.value, to_arrow_schema(schema)
         for batch in batches:
             urls = [(h + p).encode("utf-8", "surrogatepass") for h, p in zip(*(c.to_pylist() for c in batch.columns[-2:]))]
-            won = machine.fitting(urls).tolist()
+            many = max(1, SLICE_WORDS // len(machine.start))          # URLs whose states are held at a time
+            won = [r for i in range(0, len(urls), many) for r in machine.fitting(urls[i:i + many]).tolist()]
             added = [pa.array([machine.rules[r] if r >= 0 else None for r in won], pa.string()),
                      pa.array([machine.verdicts[r] if r >= 0 else default for r in won], pa.string())]
             yield pa.RecordBatch.from_arrays([*(c.cast(f.type) for c, f in zip(batch.columns, out)), *added], schema=out)

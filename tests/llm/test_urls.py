@@ -59,3 +59,13 @@ def test_registered_query(spark):
     want = {r.page_id: verdict(r.url, urls.RULES) for r in spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url").collect()}
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.op9_url_filters(spark, SF).collect()}
     assert got == want and len({v[2] for v in want.values()}) > 2
+
+
+def test_slices_of_a_batch(spark, monkeypatch):
+    """A few URLs at a time, as with very many rules."""
+    df = spark.createDataFrame(list(enumerate(ODD)), "page_id long, url string")
+    whole = urls.judge(df).collect()
+    monkeypatch.setattr(urls, "SLICE_WORDS", 3 * len(urls.compile_rules(urls.RULES).start))
+    assert urls.judge(df).collect() == whole
+    machine = urls.compile_rules(tuple(("block", f"h{i}.com/{'p' * 900}") for i in range(500)))
+    assert len(machine.start) > 10_000 and (urls.SLICE_WORDS // len(machine.start) or 1) == 1

@@ -212,6 +212,25 @@ def q_rescan_merge(spark: SparkSession, sf: str) -> DataFrame:
     return upsert_ops.upsert(base.select(*cols), updates)
 
 
+def q_rescan_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored images table in buckets; a re-scan of one file in nine, one in eleven of them corrupt by now, and
+    of new files, merged into the buckets they fall into."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    cols = ["path", "status", "width", "height", "date_taken", "sha256"]
+    schema = "path string, status string, width int, height int, date_taken string, sha256 string"
+    base = cut_lineage(scan.scan_status(fixtures.assets(spark, sf), keep=("doc_id",)))
+    table = f"{ensure_checkpoint_dir(spark)}/images-{uuid.uuid4().hex}"
+    upsert_ops.store_bucketed(base.select(*cols), table)
+    again = base.filter(F.col("doc_id") % 9 == 0)
+    status = F.when(F.col("doc_id") % 11 == 0, F.lit("deleted_corrupt")).otherwise(F.col("status"))
+    later = again.filter(F.col("status") == OK).withColumn("path", F.regexp_replace("path", "^/recovered/", "/later/"))
+    updates = again.withColumn("status", status).unionByName(later).select(*cols, upsert_ops.scan_provided(F.col("status")).alias("provided"))
+    upsert_ops.upsert_stored(updates, table, schema)
+    return upsert_ops.read_bucketed(spark, table, schema)
+
+
 def q_layout_rerun(spark: SparkSession, sf: str) -> DataFrame:
     """Placing with names already taken and some files gone."""
     return stages.rerun_layout(spark, sf)[1].select("path", "new_path")
@@ -347,6 +366,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_survivors": q_first_survivors,
     "pipeline_status": q_pipeline_status,
     "rescan_merge": q_rescan_merge,
+    "rescan_buckets": q_rescan_buckets,
     "layout_rerun": q_layout_rerun,
     "layout_rerun_stats": q_layout_rerun_stats,
     "layout_chains": q_layout_chains,

@@ -433,6 +433,12 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT regexp_replace(path, '^/recovered/', '/later/'), status, width, height, date_taken, sha256
         FROM scan WHERE doc_id % 9 = 0 AND status = 'ok'"""),
+    "rescan_buckets": _with(ASSETS, body="""
+        SELECT path, CASE WHEN doc_id % 9 = 0 AND doc_id % 11 = 0 THEN 'deleted_corrupt' ELSE status END AS status,
+               width, height, date_taken, sha256 FROM scan
+        UNION ALL
+        SELECT regexp_replace(path, '^/recovered/', '/later/'), status, width, height, date_taken, sha256
+        FROM scan WHERE doc_id % 9 = 0 AND status = 'ok'"""),
     "layout_rerun": _with(ASSETS, LAYOUT, RERUN, body="SELECT path, new_path FROM relayout"),
     "layout_rerun_stats": _with(ASSETS, LAYOUT, RERUN, _links("re_", "relayout"), body="""
         SELECT (SELECT count(*) FROM lay1 WHERE doc_id % 7 <> 3) AS moved, (SELECT count(*) FROM lay1 WHERE doc_id % 7 = 3) AS skipped,

@@ -1,0 +1,56 @@
+"""Merging into a stored table: only touched buckets are rewritten, a failed write loses nothing."""
+
+import os
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from picsift.operators import upsert as U
+
+SCHEMA = "path string, status string, width int"
+
+
+def files(table):
+    return {os.path.join(top, f): os.path.getmtime(os.path.join(top, f)) for top, _, names in os.walk(table) for f in names if f.startswith("part-")}
+
+
+@pytest.fixture
+def table(spark):
+    rows = [(f"/p/{i}", "ok", i) for i in range(1000)]
+    path = os.path.join(tempfile.mkdtemp(prefix="picsift-buckets-"), "images")
+    U.store_bucketed(spark.createDataFrame(rows, SCHEMA), path, buckets=100)
+    return path
+
+
+def stored(spark, table):
+    return {r.path: (r.status, r.width) for r in U.read_bucketed(spark, table, SCHEMA).collect()}
+
+
+def updates(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).withColumn("provided", F.array(F.lit("status")))
+
+
+def test_only_touched_buckets_are_rewritten(spark, table):
+    before, old = files(table), stored(spark, table)
+    touched = U.upsert_stored(updates(spark, [(f"/p/{i}", "deleted_tiny", None) for i in range(0, 1000, 100)] + [("/new", "ok", None)]), table, SCHEMA, buckets=100)
+    assert 0 < len(touched) <= 11
+    now = files(table)
+    kept = {f for f in before if not any(f"bucket={b}/" in f for b in touched)}
+    assert len(kept) > 80 and all(now.get(f) == before[f] for f in kept)
+    assert all(any(f"bucket={b}/" in f for b in touched) for f in now if f not in before)
+    got = stored(spark, table)
+    assert got == {**old, **{f"/p/{i}": ("deleted_tiny", i) for i in range(0, 1000, 100)}, "/new": ("ok", None)}
+    assert U.upsert_stored(updates(spark, []), table, SCHEMA, buckets=100) == [] and stored(spark, table) == got
+
+
+def test_a_failed_write_leaves_the_old_rows(spark, table, monkeypatch):
+    old = stored(spark, table)
+    fail = F.udf(lambda p: 1 // (p != "/p/500"), "int")
+    monkeypatch.setattr(U, "cut_lineage", lambda df: df.withColumn("width", fail("path")))      # a task dies while others write
+    with pytest.raises(Exception):
+        U.upsert_stored(updates(spark, [(f"/p/{i}", "gone", None) for i in range(0, 1000, 5)]), table, SCHEMA, buckets=100)
+    assert stored(spark, table) == old
+    monkeypatch.undo()
+    U.upsert_stored(updates(spark, [("/p/500", "gone", None)]), table, SCHEMA, buckets=100)      # and the next one works
+    assert stored(spark, table) == {**old, "/p/500": ("gone", 500)}

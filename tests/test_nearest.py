@@ -75,3 +75,38 @@ def test_rows_without_unit_length_and_unclustered_rows_go_the_other_way(spark, u
 def test_any_clusters(spark, used, seed, k):
     x = clustered(25, 9, 5, 0.1, seed=seed)
     assert got(top_k(frame(spark, x[::3]), frame(spark, x), "k", "v", k, block_rows=30)) == brute(x[::3], x, k)
+
+
+def test_unclustered_rows_are_asked_for_few_visits(spark, used, monkeypatch):
+    """Where balls don't pay a few queries show it: no pass over all of them."""
+    monkeypatch.setattr(similarity, "ASKED", 20)
+    seen = []
+    real = nearest.first_balls
+    monkeypatch.setattr(nearest, "first_balls", lambda q, *a: seen.append(q.count()) or real(q, *a))
+    loose = clustered(300, 1, 48, 1.0, seed=3)
+    assert got(top_k(frame(spark, loose), frame(spark, loose), "k", "v", 4, True, block_rows=30)) == brute(loose, loose, 4, True)
+    assert used == [None] and seen == [20]
+
+
+@given(st.integers(0, 2**32), st.integers(1, 9), st.booleans())
+@settings(max_examples=30, deadline=None)
+def test_best_of_a_block(seed, k, same):
+    """Float products only choose whom to look at: ties, copies, lengths and rows without a number."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(seed)
+    c = rng.standard_normal((2600, 6)) * rng.choice([1e-3, 1.0, 40.0])
+    c[rng.integers(0, 2600, 900)] = c[5]
+    c[7, 2] = np.nan
+    q = np.concatenate([c[:9], c[5:6]])
+    table = pa.table({"_k": np.concatenate([np.arange(10), np.arange(2600)]), "_v": pa.array([*q.tolist(), *c.tolist()]),
+                      "_side": np.repeat([0, 1], [10, 2600])})
+    out = similarity._topk_block_fn(k, same)(table)
+    mine = {(a, r): s for a, r, s in zip(*(out[n].to_pylist() for n in ("query_id", "rank", "sim")))}
+    s = q @ c.T
+    if same:
+        s[np.arange(10), np.arange(10)] = np.nan
+    for i in range(10):
+        best = np.sort(s[i][np.isfinite(s[i])])[::-1][:k]
+        assert np.allclose([mine.pop((i, r)) for r in range(1, len(best) + 1)], best, rtol=1e-12, atol=1e-12 * 1600)
+    assert not mine

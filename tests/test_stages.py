@@ -176,3 +176,30 @@ def test_layout_rerun_stats_counts_every_link(spark):
             want.add(("person", r.face_cluster_id, name))
     got = catalog.q_layout_rerun_stats(spark, sf).first()
     assert got.links == len(want) > 0 and got.moved == len(rows)
+
+
+def test_persons_come_from_survivors_only(spark, tmp_path):
+    """Deleted images have no person and don't count towards a cluster's size: of 16 images of one person all but a
+    few are exact copies of one, of 15 images of another one is corrupt."""
+    import datetime
+
+    import numpy as np
+
+    from picsift.plans import stages
+    rng = np.random.default_rng(5)
+    vecs = rng.normal(size=(48, 64))
+    vecs /= np.linalg.norm(vecs, axis=1, keepdims=True)
+    tables = {
+        "embeddings": ([(v, vecs[v].tolist(), v % 10) for v in range(48)], "vec_id long, embedding array<float>, label int"),
+        "documents": ([(d, "same" if 100 <= d < 110 else f"text {d}") for d in range(100, 220)], "doc_id long, text string"),
+        "orders": ([(d, datetime.datetime(2018, 1, 1 + d % 28)) for d in range(100, 220)], "o_orderkey long, o_orderdate timestamp")}
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = {r.doc_id: r for r in stages.labelled(spark, str(tmp_path)).collect()}
+    assert len(got) == 120
+    assert all(r.face_cluster_id == -1 for r in got.values() if r.status != "ok")
+    few = [d for d in range(100, 116) if got[d].status == "ok"]         # faces of vector 15
+    assert 0 < len(few) < 10 and all(got[d].face_cluster_id == -1 for d in few)
+    many = [d for d in range(200, 215) if got[d].status == "ok"]        # faces of vector 30
+    assert 10 <= len(many) < 15 and got[212].status == "deleted_corrupt"
+    assert len({got[d].face_cluster_id for d in many}) == 1 and got[many[0]].face_cluster_id >= 0
